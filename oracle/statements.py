@@ -1,6 +1,8 @@
 """One DuckDB statement per registered query."""
 
 from .features import FEATURES
+from .forecasts import FORECASTS
 from .kpis import KPIS
+from .monitoring import MONITORING
 
-STATEMENTS = {**KPIS, **FEATURES}
+STATEMENTS = {**KPIS, **FEATURES, **MONITORING, **FORECASTS}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -103,9 +104,25 @@ def optional_equals(df: DataFrame, **wanted) -> DataFrame:
     return df
 
 
+#: Partition column of the monthly tables.
+MONTH_PARTITION = "part_month"
+
+
+def as_day(value) -> dt.date:
+    return value if isinstance(value, dt.date) else dt.date.fromisoformat(str(value))
+
+
+def from_day(df: DataFrame, first: dt.date, column: str = "date") -> DataFrame:
+    """Rows from a day on. A monthly table is also filtered on its partition column, so that whole
+    months are pruned before any file is opened."""
+    if MONTH_PARTITION in df.columns:
+        df = df.filter(F.col(MONTH_PARTITION) >= first.strftime("%Y-%m"))
+    return df.filter(F.col(column) >= F.lit(first))
+
+
 def trailing(df: DataFrame, as_of, days: int, column: str = "date") -> DataFrame:
-    """Rows with ``column >= as_of - days``; as_of is a literal so the scan can prune."""
-    return df.filter(F.col(column) >= F.date_sub(F.lit(as_of), days))
+    """Rows with ``column >= as_of - days``; the bound is a literal, so the scan can prune."""
+    return from_day(df, as_day(as_of) - dt.timedelta(days=days), column)
 
 
 def ensure_columns(df: DataFrame, defaults: dict) -> DataFrame:

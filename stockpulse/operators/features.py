@@ -101,7 +101,7 @@ def enrich(sales: DataFrame, weather: DataFrame, competitor: DataFrame) -> DataF
 
 def between_dates(df: DataFrame, run_date, lookback: int) -> DataFrame:
     """Rows of [run_date - lookback, run_date]."""
-    return df.filter(F.col("date").between(F.date_sub(F.lit(run_date), lookback), F.lit(run_date)))
+    return fx.trailing(df, run_date, lookback).filter(F.col("date") <= F.lit(fx.as_day(run_date)))
 
 
 def build_features(sales: DataFrame, weather: DataFrame, competitor: DataFrame, run_date, lookback: int = 400,

@@ -117,8 +117,8 @@ def portfolio_kpis(sales: DataFrame, forecasts: DataFrame, inventory: DataFrame,
     given anomalies the two-sigma flags of the window are counted.
     """
     history = F.date_sub(F.lit(as_of), window_days)
-    kpis = sku_daily_kpis(sales.filter(F.col("date") >= history), forecasts.filter(F.col("target_date") >= history),
-                          inventory.filter(F.col("snapshot_date") >= history))
+    kpis = sku_daily_kpis(fx.trailing(sales, as_of, window_days), fx.trailing(forecasts, as_of, window_days, "target_date"),
+                          fx.trailing(inventory, as_of, window_days, "snapshot_date"))
     totals = kpis.agg(
         F.avg("mape").alias("avg_mape"),
         fx.pct(F.sum(F.when(F.col("predicted_demand").isNotNull(), F.abs(F.col("actual_sales") - F.col("predicted_demand")))),

@@ -11,9 +11,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import labels
 from ..functions import scalar as fx
-from ..operators import features, kpis, restock
-from ..sources import retail
+from ..operators import boosting, features, forecasting, kpis, monitoring, promotions, quality, restock, search
+from ..sources import retail, sinks
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -183,3 +184,262 @@ def regional_flags(spark, root):
 @register
 def return_rates(spark, root):
     return rounded(kpis.return_rates(retail.load(spark, root).sales))
+
+
+# ---- monitoring and writes -----------------------------------------------------------------------
+
+@register
+def psi_drift(spark, root):
+    t = retail.load(spark, root)
+    return rounded(monitoring.psi(t.sales, t.as_of))
+
+
+@register
+def realized_mape(spark, root):
+    t = retail.load(spark, root)
+    filled = sinks.realize_forecasts(t.forecasts, t.sales, t.as_of)
+    return rounded(monitoring.realized_mape(filled, F.date_sub(F.lit(t.as_of), 1)))
+
+
+@register
+def realize_forecasts(spark, root):
+    t = retail.load(spark, root)
+    out = sinks.realize_forecasts(t.forecasts, t.sales, t.as_of)
+    return rounded(out.withColumn("predicted_qty", F.col("predicted_qty").cast("double")))
+
+
+@register
+def quality_gate(spark, root):
+    t = retail.load(spark, root)
+    newest = t.model_versions.filter("stage = 'Staging'").groupBy("model_name").agg(
+        F.max_by("avg_mape", "version").alias("avg_mape"))
+    return rounded(monitoring.quality_gate(newest, threshold=25.0))
+
+
+@register
+def latest_model_versions(spark, root):
+    return rounded(monitoring.promote_versions(retail.load(spark, root).model_versions))
+
+
+@register
+def model_forecast_errors(spark, root):
+    t = retail.load(spark, root)
+    actual = t.sales.select("sku_id", "region", F.col("date").alias("target_date"), F.col("sales_qty").alias("actual"))
+    scored = t.forecasts.withColumnRenamed("predicted_qty", "predicted").join(actual, ["sku_id", "region", "target_date"])
+    return rounded(kpis.forecast_errors(scored, ["model_name", "model_version"]))
+
+
+@register
+def dedupe_latest(spark, root):
+    lines = spark.read.parquet(f"{root}/lineitem.parquet")
+    order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+             "l_returnflag", "l_linestatus"]
+    kept = sinks.dedupe_latest(lines.withColumn("l_tax", F.col("l_tax") + 0.0), ["l_orderkey", "l_linenumber"], order)
+    return kept.withColumn("l_shipdate", F.col("l_shipdate").cast("date"))
+
+
+@register
+def weather_append_absent(spark, root):
+    t = retail.load(spark, root)
+    scores = t.weather.withColumn("score", F.col("score").cast("double"))
+    target = scores.filter(F.dayofmonth("date") % 2 == 0)
+    fresh = scores.withColumn("score", F.col("score") + 100)
+    return rounded(sinks.upsert_absent(fresh, target, ["region", "date"]))
+
+
+@register
+def weather_scores(spark, root):
+    """Temperatures to scores and cities, over every weather row."""
+    t = retail.load(spark, root)
+    kelvin = F.col("score").cast("double") * 10 + 290
+    city = F.coalesce(fx.region_city("region"), F.lit("unknown"))
+    return t.weather.select("region", "date", (fx.weather_score(kelvin) + 0.0).alias("score"), city.alias("city"))
+
+
+@register
+def dq_unique(spark, root):
+    t = retail.load(spark, root)
+    return quality.duplicate_keys(t.competitor, ["sku_id", "date"])
+
+
+@register
+def dq_not_null(spark, root):
+    t = retail.load(spark, root)
+    return quality.null_counts(t.forecasts, ["sku_id", "region", "target_date", "predicted_qty", "realized_mape"])
+
+
+@register
+def dq_referential(spark, root):
+    t = retail.load(spark, root)
+    discontinued = t.products.filter("is_active")
+    return quality.orphans(t.sales, discontinued, "sku_id", "sku_id").groupBy("sku_id").agg(
+        F.count(F.lit(1)).alias("orphan_rows"), F.sum("sales_qty").alias("orphan_qty"))
+
+
+@register
+def dq_domain(spark, root):
+    t = retail.load(spark, root)
+    rule = F.col("sales_qty").between(1, 60) & quality.max_length("region", 10)
+    return quality.domain_violations(t.sales, rule).select("sku_id", "region", "date", "sales_qty")
+
+
+@register
+def dq_report(spark, root):
+    t = retail.load(spark, root)
+    return quality.report({
+        "sales key": quality.duplicate_keys(t.sales, ["sku_id", "region", "date"]),
+        "competitor key": quality.duplicate_keys(t.competitor, ["sku_id", "date"]),
+        "inventory key": quality.duplicate_keys(t.inventory, ["sku_id", "warehouse_id", "snapshot_date"]),
+        "sales product": quality.orphans(t.sales, t.products, "sku_id", "sku_id"),
+        "stock not negative": quality.domain_violations(t.inventory, F.col("quantity_on_hand") >= 0),
+    })
+
+
+@register
+def kaplan_meier(spark, root):
+    t = retail.load(spark, root)
+    return rounded(monitoring.kaplan_meier(monitoring.stock_spells(restock.inventory_by_region(t.inventory)), "region"))
+
+
+# ---- promotions ----------------------------------------------------------------------------------
+
+PROMOTED = ["Brand#1", "Brand#2", "Brand#6"]
+PROMO_START, PROMO_END = "2000-03-01", "2000-04-30"
+
+
+@register
+def promo_expand(spark, root):
+    t = retail.load(spark, root)
+    return promotions.expand_promotions(t.sales, t.promotions, 7, 7).select(
+        "promo_id", "phase", "sku_id", "region", "date", "sales_qty", "discount_pct")
+
+
+@register
+def promo_tagged_sales(spark, root):
+    t = retail.load(spark, root)
+    return promotions.tag_promotions(t.sales, t.promotions).select("sku_id", "region", "date", "sales_qty", "promo_id", "is_promotion")
+
+
+@register
+def promo_lift(spark, root):
+    t = retail.load(spark, root)
+    return rounded(promotions.promo_lift(t.sales, t.promotions))
+
+
+@register
+def promo_decay(spark, root):
+    t = retail.load(spark, root)
+    return rounded(promotions.promo_decay(t.sales, t.promotions))
+
+
+@register
+def uplift_pct(spark, root):
+    """Uplift of promotion rows over the others per SKU, with its report band."""
+    t = retail.load(spark, root)
+    means = t.sales.groupBy("sku_id").agg(
+        F.avg(F.when(F.col("is_promotion"), F.col("sales_qty"))).alias("during"),
+        F.avg(F.when(~F.col("is_promotion"), F.col("sales_qty"))).alias("baseline"))
+    out = means.withColumn("uplift_pct", kpis.uplift_pct("during", "baseline"))
+    return rounded(out.withColumn("band", labels.lift_band(fx.ratio("during", "baseline"))))
+
+
+@register
+def did_lift(spark, root):
+    t = retail.load(spark, root)
+    out = promotions.did_lift(t.sales, PROMOTED, PROMO_START, PROMO_END)
+    return rounded(out.drop("price_elasticity"), 4)
+
+
+@register
+def price_elasticity(spark, root):
+    t = retail.load(spark, root)
+    out = promotions.did_lift(t.sales, PROMOTED, PROMO_START, PROMO_END, "bogo", 20.0, regions=["ASIA", "EUROPE"])
+    return rounded(out.select("promotion_type", "did", "price_elasticity"))
+
+
+@register
+def cannibalization(spark, root):
+    t = retail.load(spark, root)
+    return rounded(promotions.cannibalization(t.sales, t.products, PROMOTED, PROMO_START, PROMO_END))
+
+
+# ---- search --------------------------------------------------------------------------------------
+
+@register
+def fuzzy_product_search(spark, root):
+    t = retail.load(spark, root, grain="part")
+    return rounded(search.fuzzy_product_search(t.products, "blu widgets", 50))
+
+
+@register
+def product_similarity(spark, root):
+    """Similarity of every product name to the query, unranked."""
+    t = retail.load(spark, root, grain="part")
+    score = search.similarity(search.trigrams("product_name"), search.trigrams(F.lit("smal rings")))
+    return rounded(t.products.select("sku_id", "product_name", score.alias("similarity")))
+
+
+# ---- forecasting ---------------------------------------------------------------------------------
+
+HORIZON = 28
+
+
+@register
+def seasonal_strength(spark, root):
+    return rounded(forecasting.seasonal_strength(retail.load(spark, root).sales))
+
+
+@register
+def seasonal_forecast(spark, root):
+    t = retail.load(spark, root)
+    return rounded(forecasting.seasonal_forecast(forecasting.seasonal_params(t.sales), HORIZON))
+
+
+@register
+def lookback_forecast(spark, root):
+    t = retail.load(spark, root)
+    return rounded(forecasting.lookback_forecast(forecasting.lookback_params(t.sales), HORIZON))
+
+
+@register
+def seasonal_naive(spark, root):
+    return rounded(forecasting.seasonal_naive(retail.load(spark, root).sales, 365))
+
+
+@register
+def ensemble_forecast(spark, root):
+    t = retail.load(spark, root)
+    members = forecasting.closed_form_members(t.sales, HORIZON)
+    return forecasting.ensemble(members, {"seasonal": 0.4, "naive": 0.4, "lookback": 0.2})
+
+
+@register
+def backtest_naive(spark, root):
+    t = retail.load(spark, root)
+    return rounded(forecasting.backtest(t.sales, t.as_of, folds=6, horizon=HORIZON, model="naive"))
+
+
+@register
+def backtest_seasonal(spark, root):
+    t = retail.load(spark, root)
+    return rounded(forecasting.backtest(t.sales, t.as_of, folds=3, horizon=HORIZON, model="seasonal"), 4)
+
+
+@register
+def backtest_lookback(spark, root):
+    t = retail.load(spark, root)
+    return rounded(forecasting.backtest(t.sales, t.as_of, folds=3, horizon=HORIZON, model="lookback"), 4)
+
+
+@register
+def tune_weights(spark, root):
+    t = retail.load(spark, root)
+    scored = forecasting.holdout_members(t.sales, t.as_of, 90).join(t.products.select("sku_id", "category"), "sku_id")
+    return rounded(forecasting.tune_weights(scored), 4)
+
+
+@register
+def gbt_forecast(spark, root):
+    t = retail.load(spark, root)
+    model = boosting.fit_gbt(t.sales, t.as_of, HORIZON, maxIter=20, maxDepth=4)
+    return boosting.gbt_forecast(model, t.sales, HORIZON)

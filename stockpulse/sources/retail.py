@@ -9,7 +9,7 @@ lost executor costs a re-read, not a re-join. The other tables are narrow deriva
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 from functools import cached_property
 
@@ -99,9 +99,16 @@ class RetailTables:
     spark: SparkSession
     root: str
     grain: str
-    sales: DataFrame
-    as_of: dt.date
-    options: dict = field(default_factory=dict)
+
+    @cached_property
+    def sales(self) -> DataFrame:
+        """The daily fact, written once and read back."""
+        return self.spark.read.parquet(build_sales(self.spark, self.root, self.grain))
+
+    @cached_property
+    def as_of(self) -> dt.date:
+        """Newest day of the fact; stands in for today."""
+        return self.sales.agg(F.max("date")).first()[0]
 
     @cached_property
     def _region_keys(self) -> DataFrame:
@@ -177,7 +184,7 @@ class RetailTables:
     @cached_property
     def forecasts(self) -> DataFrame:
         """Two vintages and two models per target day over the last 400 days."""
-        recent = self.sales.filter(F.col("date") > F.date_sub(F.lit(self.as_of), HISTORY_DAYS))
+        recent = fx.trailing(self.sales, self.as_of, HISTORY_DAYS - 1)
         bn, rk, doy, lead, m = sku_number(), F.col("rk"), F.dayofyear("date"), F.col("lead"), F.col("m")
         noise = (bn + rk + doy * (1 + 2 * m) + lead) % (11 + 6 * m) - (5 + 3 * m)
         predicted = F.greatest(F.lit(0), F.col("sales_qty") + noise).cast("decimal(12,1)")
@@ -236,18 +243,16 @@ def build_sales(spark: SparkSession, root: str, grain: str = "brand") -> str:
     too big for one task.
     """
     path = scratch_path(spark, f"sku_daily_sales_{grain}")
-    (daily_sales(spark, root, grain).withColumn("month", fx.month_key("date"))
-     .hint("rebalance", "month").sortWithinPartitions("month", "sku_id", "region", "date")
-     .write.partitionBy("month").parquet(path))
+    (daily_sales(spark, root, grain).withColumn(fx.MONTH_PARTITION, fx.month_key("date"))
+     .hint("rebalance", fx.MONTH_PARTITION).sortWithinPartitions(fx.MONTH_PARTITION, "sku_id", "region", "date")
+     .write.partitionBy(fx.MONTH_PARTITION).parquet(path))
     return path
 
 
 def load(spark: SparkSession, root: str, grain: str = "brand", refresh: bool = False) -> RetailTables:
-    """Retail tables over ``root``; the daily fact is built on first use in this session."""
+    """Retail tables over ``root``; the daily fact is built when a query first needs it in this session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     key = (spark.sparkContext.applicationId, root, grain)
     if refresh or key not in _built:
-        sales = spark.read.parquet(build_sales(spark, root, grain))
-        as_of = sales.agg(F.max("date")).first()[0]
-        _built[key] = RetailTables(spark, root, grain, sales.drop("month"), as_of)
+        _built[key] = RetailTables(spark, root, grain)
     return _built[key]
