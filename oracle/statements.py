@@ -3,6 +3,7 @@
 from .features import FEATURES
 from .forecasts import FORECASTS
 from .kpis import KPIS
+from .models import MODELS
 from .monitoring import MONITORING
 
-STATEMENTS = {**KPIS, **FEATURES, **MONITORING, **FORECASTS}
+STATEMENTS = {**KPIS, **FEATURES, **MONITORING, **FORECASTS, **MODELS}

@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions import scalar as fx
-from ..operators import boosting, features, forecasting, kpis, monitoring, promotions, quality, restock, search
+from ..operators import (anomaly, boosting, causal, clustering, features, forecasting, kpis, monitoring, promotions, quality,
+                         restock, search)
+from ..session import stage
 from ..sources import retail, sinks
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -443,3 +445,82 @@ def gbt_forecast(spark, root):
     t = retail.load(spark, root)
     model = boosting.fit_gbt(t.sales, t.as_of, HORIZON, maxIter=20, maxDepth=4)
     return boosting.gbt_forecast(model, t.sales, HORIZON)
+
+
+# ---- clusters and anomalies ----------------------------------------------------------------------
+
+def _matrix(t, **options) -> DataFrame:
+    return clustering.sku_feature_matrix(t.sales, t.products, kpis.return_rates(t.sales),
+                                         promotions.promo_lift(t.sales, t.promotions), t.as_of, **options)
+
+
+@register
+def sku_feature_matrix(spark, root):
+    return rounded(_matrix(retail.load(spark, root)))
+
+
+@register
+def sku_feature_matrix_part(spark, root):
+    """Feature matrix at product grain: as many SKUs as there are parts."""
+    return rounded(_matrix(retail.load(spark, root, grain="part"), days=3650, min_rows=10))
+
+
+@register
+def peak_month(spark, root):
+    t = retail.load(spark, root)
+    return clustering.peak_month(t.sales, t.as_of)
+
+
+@register
+def cluster_labels(spark, root):
+    """Labels and report rows for a fixed assignment of SKUs to six groups."""
+    fixed = _matrix(retail.load(spark, root)).withColumn("cluster", (retail.sku_number() % 6).cast("int"))
+    return clustering.describe_clusters(fixed)
+
+
+@register
+def cluster_distribution(spark, root):
+    fixed = _matrix(retail.load(spark, root)).withColumn("cluster", (retail.sku_number() % 6).cast("int"))
+    return kpis.cluster_distribution(clustering.describe_clusters(fixed))
+
+
+@register
+def sku_clusters(spark, root):
+    return clustering.sku_clusters(_matrix(retail.load(spark, root)), 4)
+
+
+@register
+def sku_clusters_part(spark, root):
+    matrix = _matrix(retail.load(spark, root, grain="part"), days=3650, min_rows=10)
+    return clustering.sku_clusters(stage(matrix, "matrix"), 4, ["velocity", "margin", "volume", "seasonality"])
+
+
+@register
+def match_controls(spark, root):
+    t = retail.load(spark, root, grain="part")
+    clustered = clustering.cluster_skus(stage(_matrix(t, days=3650, min_rows=10), "matrix"), 4)
+    promoted = [f"SKU-{i}" for i in range(0, 100)]
+    return causal.match_controls(stage(clustered, "clustered"), promoted)
+
+
+@register
+def anomaly_causes(spark, root):
+    """Scaling, direction, cause and ranking on a given raw score (distance from the rolling mean)."""
+    t = retail.load(spark, root)
+    rows = anomaly.detection_rows(t.sales, t.weather, t.competitor, t.inventory, t.as_of, 180)
+    raw = -F.abs(F.col("daily_sales") - F.col("rolling_mean_7")) / (F.col("rolling_std_7") + 1)
+    return anomaly.score_events(rows.withColumn("raw_score", F.round(raw, 6)), t.as_of, 180)
+
+
+@register
+def detect_anomalies(spark, root):
+    t = retail.load(spark, root)
+    return anomaly.detect_anomalies(t.sales, t.weather, t.competitor, t.inventory, t.as_of, days_back=180)
+
+
+@register
+def attribute_spikes(spark, root):
+    t = retail.load(spark, root)
+    full = features.build_features(t.sales, t.weather, t.competitor, t.as_of)
+    keys = ["sku_id", "region", "date"]
+    return causal.attribute_spikes(full, features.two_sigma_flags(t.sales).filter("outside"), keys)

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Settings every job relies on. Shuffle partition count is left to AQE: it starts
 #: high on a cluster and is coalesced from the observed map output sizes.
@@ -48,3 +49,18 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder, never reused."""
     return f"{shared_dir(spark)}/stockpulse/{label}-{uuid.uuid4().hex}"
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Cuts the lineage of a result used several times. Losing an executor then costs a re-read.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Columns of a one-row result on every row of ``df``."""
+    return df.withColumn("_one", F.lit(1)).join(one_row.withColumn("_one", F.lit(1)), "_one").drop("_one")
