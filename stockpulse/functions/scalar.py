@@ -85,7 +85,8 @@ def region_city(region) -> Column:
 
 
 def to_event_json(*cols) -> Column:
-    return F.to_json(F.struct(*cols))
+    """JSON payload; timestamps keep their microseconds."""
+    return F.to_json(F.struct(*cols), {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"})
 
 
 def from_event_json(value, schema: str) -> Column:

@@ -9,7 +9,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import attach_row
+from ..session import attach_row, stage
 from .clustering import MATRIX_COLUMNS, standardize
 
 DRIVERS = ["is_promotion", "rolling_mean_28", "competitor_price_delta", "weather_score"]
@@ -54,21 +54,22 @@ def nearest_match(left: DataFrame, right: DataFrame, by: str, score: str, right_
     return left.join(table, [by, score])
 
 
-def propensity(matrix: DataFrame, treated_ids, columns=MATRIX_COLUMNS) -> DataFrame:
-    """Probability of being promoted given the SKU features."""
-    rows = matrix.withColumn("treated", F.col("sku_id").isin(*treated_ids).cast("double"))
+def propensity(matrix: DataFrame, treated: DataFrame, columns=MATRIX_COLUMNS) -> DataFrame:
+    """Probability of being promoted given the SKU features; ``treated`` lists the promoted sku_id."""
+    flags = treated.select("sku_id").distinct().withColumn("treated", F.lit(1.0))
+    rows = matrix.join(flags, "sku_id", "left").na.fill({"treated": 0.0})
     scaled, _ = standardize(rows, columns)
     model = LogisticRegression(featuresCol="scaled", labelCol="treated", regParam=0.01).fit(scaled)
     chance = vector_to_array("probability")[1]
     return model.transform(scaled).select(*matrix.columns, "treated", F.round(chance, 6).alias("propensity"))
 
 
-def match_controls(clustered: DataFrame, treated_ids, columns=MATRIX_COLUMNS) -> DataFrame:
+def match_controls(clustered: DataFrame, treated: DataFrame, columns=MATRIX_COLUMNS) -> DataFrame:
     """One control per treated SKU: same cluster, nearest propensity; a control may serve several."""
-    scored = propensity(clustered.drop("features"), treated_ids, columns)
-    treated = scored.filter("treated = 1").select("sku_id", "cluster", "propensity")
+    scored = stage(propensity(clustered.drop("features"), treated, columns), "propensity")
+    promoted = scored.filter("treated = 1").select("sku_id", "cluster", "propensity")
     control = scored.filter("treated = 0").select(F.col("sku_id").alias("control_id"), "cluster", "propensity")
-    matched = nearest_match(treated, control, "cluster", "propensity", "control_id")
+    matched = nearest_match(promoted, control, "cluster", "propensity", "control_id")
     return matched.select("sku_id", "cluster", "propensity", F.col("matched_control_id").alias("control_sku_id"),
                           F.col("matched_score").alias("control_propensity"))
 

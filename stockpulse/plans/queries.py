@@ -15,8 +15,11 @@ from ..functions import labels
 from ..functions import scalar as fx
 from ..operators import (anomaly, boosting, causal, clustering, features, forecasting, kpis, monitoring, promotions, quality,
                          restock, search)
-from ..session import stage
+from ..session import scratch_path, stage
 from ..sources import retail, sinks
+from ..streaming import aggregates, events
+from ..streaming.sinks import current_stock, drain, stock_log
+from . import api
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -499,7 +502,7 @@ def sku_clusters_part(spark, root):
 def match_controls(spark, root):
     t = retail.load(spark, root, grain="part")
     clustered = clustering.cluster_skus(stage(_matrix(t, days=3650, min_rows=10), "matrix"), 4)
-    promoted = [f"SKU-{i}" for i in range(0, 100)]
+    promoted = t.sales.groupBy("sku_id").agg(F.avg(F.col("is_promotion").cast("double")).alias("share")).filter("share > 0.25")
     return causal.match_controls(stage(clustered, "clustered"), promoted)
 
 
@@ -524,3 +527,84 @@ def attribute_spikes(spark, root):
     full = features.build_features(t.sales, t.weather, t.competitor, t.as_of)
     keys = ["sku_id", "region", "date"]
     return causal.attribute_spikes(full, features.two_sigma_flags(t.sales).filter("outside"), keys)
+
+
+# ---- streams -------------------------------------------------------------------------------------
+
+def _sales_stream(spark, root) -> DataFrame:
+    clicks = events.read_clicks(spark, f"{root}/events*.parquet")
+    return events.deduplicated(events.sales_from_clicks(clicks, retail.region_names(spark, root)))
+
+
+def _sales_batch(spark, root) -> DataFrame:
+    return events.sales_from_clicks(spark.read.parquet(f"{root}/events.parquet"), retail.region_names(spark, root))
+
+
+@register
+def stream_daily_sales(spark, root):
+    retail.load(spark, root)
+    return rounded(drain(aggregates.flat_days(aggregates.daily_sales(_sales_stream(spark, root))), "daily"), 4)
+
+
+@register
+def stream_rolling_stats(spark, root):
+    retail.load(spark, root)
+    return rounded(drain(aggregates.rolling_stats(aggregates.daily_sales(_sales_stream(spark, root))), "rolling"))
+
+
+@register
+def stream_enriched_sales(spark, root):
+    t = retail.load(spark, root)
+    days = aggregates.flat_days(aggregates.daily_sales(_sales_stream(spark, root)))
+    return rounded(drain(aggregates.enriched(days, t.products).drop("revenue", "events"), "enriched"), 4)
+
+
+@register
+def stream_alerts(spark, root):
+    retail.load(spark, root)
+    history = aggregates.baseline(aggregates.flat_days(aggregates.daily_sales(_sales_batch(spark, root))))
+    days = aggregates.flat_days(aggregates.daily_sales(_sales_stream(spark, root)))
+    return rounded(drain(aggregates.alerts(days, history), "alerts"))
+
+
+@register
+def stream_forecast_monitoring(spark, root):
+    t = retail.load(spark, root)
+    error = fx.abs_pct_error("sales_qty", "predicted_qty")
+    actual = t.sales.select("sku_id", "region", F.col("date").alias("target_date"), "sales_qty")
+    payload = t.forecasts.join(actual, ["sku_id", "region", "target_date"]).select(
+        "sku_id", "region", F.col("model_name").alias("model"), F.datediff("target_date", "forecast_date").alias("horizon_days"),
+        error.alias("mape"), F.col("target_date").cast("timestamp").alias("ts"))
+    topic = scratch_path(spark, "forecast_events")
+    payload.select(fx.to_event_json(*payload.columns).alias("value")).write.text(topic)
+    good, _ = events.parse_events(events.read_topic(spark, "forecast-events", {"format": "text", "path": topic}), "forecast-events")
+    return rounded(drain(aggregates.forecast_monitoring(good), "monitoring"))
+
+
+@register
+def stream_current_stock(spark, root):
+    t = retail.load(spark, root)
+    updates = t.inventory.select("sku_id", "warehouse_id", "region", "quantity_on_hand",
+                                 F.col("snapshot_date").cast("timestamp").alias("ts"))
+    feed, log = scratch_path(spark, "inventory_updates"), scratch_path(spark, "stock_log")
+    updates.write.parquet(feed)
+    source = spark.readStream.schema(updates.schema).option("maxFilesPerTrigger", 100).parquet(feed)
+    stock_log(source, f"{log}/data", f"{log}/checkpoint").awaitTermination()
+    return current_stock(spark, f"{log}/data").withColumn("ts", F.col("ts").cast("date"))
+
+
+@register
+def event_json(spark, root):
+    """Sales events encoded to JSON payloads and decoded again."""
+    retail.load(spark, root)
+    sales = _sales_batch(spark, root)
+    raw = sales.select(fx.to_event_json(*sales.columns).alias("value"))
+    good, _ = events.parse_events(raw, "sales-events")
+    return good.select("event_id", "sku_id", "region", "qty", "amount", F.unix_micros("ts").alias("ts_micros"))
+
+
+@register
+def forecast_ensemble(spark, root):
+    """Seasonal, boosted and lookback members combined, every series."""
+    t = retail.load(spark, root)
+    return api.forecast(t, horizon_days=HORIZON, days_back=3650, maxIter=20, maxDepth=4)
