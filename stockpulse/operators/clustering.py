@@ -113,6 +113,8 @@ def describe_clusters(clustered: DataFrame) -> DataFrame:
 
 def cluster_skus(matrix: DataFrame, n_clusters: int | None = 4, features=None, seed: int = 42) -> DataFrame:
     """Matrix rows with their cluster number; ``n_clusters=None`` picks k by silhouette."""
+    if matrix.isEmpty():
+        return matrix.withColumns({"features": F.array().cast("array<double>"), "cluster": F.lit(0)})
     columns = fx.pick_columns(matrix, features, MATRIX_COLUMNS, ALIASES)
     scaled, _ = standardize(matrix, columns)
     reduced = principal_components(scaled, "scaled", len(columns))
