@@ -122,7 +122,7 @@ def fit_forest(df: DataFrame, keys, columns, n_trees: int = N_TREES, subsample:
     used = max(1, int(MAX_FEATURES * len(columns)))
     order = list(keys)
 
-    def one_tree(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def one_tree(key, rows):
         rng = np.random.default_rng([seed, int(key[0])])
         chosen = np.sort(rng.choice(len(columns), size=used, replace=False))
         x = rows.sort_values(order)[columns].to_numpy(dtype=float)
