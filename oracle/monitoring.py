@@ -82,7 +82,7 @@ SELECT * EXCLUDE (rn) REPLACE (CAST(l_shipdate AS DATE) AS l_shipdate) FROM (
 SELECT * REPLACE (l_tax+0e0 AS l_tax), row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
   l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC) AS rn FROM lineitem) WHERE rn=1""",
     "weather_append_absent": """
-SELECT region, date, round(CASE WHEN day(date)%2=0 THEN score ELSE score+100 END,6) AS score FROM weather""",
+SELECT region, date, round(CASE WHEN date<=(SELECT d FROM as_of_day)-365 THEN score ELSE score+100 END,6) AS score FROM weather""",
     "weather_scores": """
 SELECT region, date, round((score*10+290-295)/10,2)+0e0 AS score, CASE region WHEN 'Punjab' THEN 'Chandigarh' ELSE 'unknown' END AS city FROM weather""",
     "dq_unique": "SELECT sku_id, date, count(*) AS copies FROM competitor GROUP BY 1,2 HAVING count(*)>1",

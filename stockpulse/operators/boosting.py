@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
 from ..schemas import SERIES_KEYS
+from ..session import stage
 from .features import series_window
 
 #: Learner settings. Spark has no L2 leaf penalty; small leaves are barred instead.
@@ -55,8 +56,11 @@ def training_rows(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train
 
 
 def fit_gbt(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days: int = TRAIN_DAYS, **params) -> PipelineModel:
-    """Fit on the trailing history; stops early on the newest targets."""
-    rows = training_rows(sales, as_of, horizon, keys, train_days)
+    """Fit on the trailing history; stops early on the newest targets.
+
+    The training rows are written once: the learner reads them for training, validation and binning.
+    """
+    rows = stage(training_rows(sales, as_of, horizon, keys, train_days), "gbt_rows")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
                        validationIndicatorCol="is_validation", **{**GBT_PARAMS, **params})
     return Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="features"), gbt]).fit(rows)

@@ -196,14 +196,12 @@ def tune_weights(scored: DataFrame, members=("seasonal", "naive", "lookback"), b
     """
     rows = scored.na.drop(subset=["actual", *members])
     grid = [(i / step, j / step, (step - i - j) / step) for i in range(step + 1) for j in range(step + 1 - i)]
-    a, (m1, m2, m3) = F.col("actual"), [F.col(m) for m in members]
-    sums = rows.groupBy(by).agg(
-        F.sum("actual").alias("_total"),
-        *[F.sum(F.abs(a - (m1 * w1 + m2 * w2 + m3 * w3))).alias(f"_e{i}") for i, (w1, w2, w3) in enumerate(grid)])
-    candidates = F.array(*[
-        F.struct(F.round(fx.pct(f"_e{i}", "_total"), 6).alias("wape"), *[F.lit(v).alias(f"w_{m}") for m, v in zip(members, ws)])
-        for i, ws in enumerate(grid)])
-    return sums.select(by, F.array_min(candidates).alias("best")).select(by, "best.*")
+    mixes = [" + ".join(f"{m} * {w}D" for m, w in zip(members, ws)) for ws in grid]
+    errors = [F.expr(f"sum(abs(actual - ({mix})))").alias(f"e{i}") for i, mix in enumerate(mixes)]
+    sums = rows.groupBy(by).agg(F.sum("actual").cast("double").alias("total"), *errors)
+    named = [", ".join(f"{w}D AS w_{m}" for m, w in zip(members, ws)) for ws in grid]
+    candidates = [f"struct(round(e{i} / nullif(total, 0D) * 100, 6) AS wape, {names})" for i, names in enumerate(named)]
+    return sums.select(by, F.expr(f"array_min(array({', '.join(candidates)}))").alias("best")).select(by, "best.*")
 
 
 def fold_rows(sales: DataFrame, as_of, folds: int, horizon: int) -> DataFrame:

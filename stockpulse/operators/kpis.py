@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,7 @@ from ..functions import labels
 from ..functions import scalar as fx
 from ..functions import stock
 from ..schemas import FACT_KEYS, SERIES_KEYS
+from ..session import attach_row
 from .features import two_sigma_flags
 from .restock import inventory_by_region
 
@@ -136,10 +139,7 @@ def portfolio_kpis(sales: DataFrame, forecasts: DataFrame, inventory: DataFrame,
     parts = [totals, turnover, saved, coverage, anomalies.agg(F.count(F.lit(1)).alias("anomalies_detected"))]
     if drift is not None:
         parts.append(drift.agg(F.count_if(F.col("drifted")).alias("model_drift_alerts")))
-    out = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    return reduce(attach_row, parts)
 
 
 def monthly_accuracy(kpis: DataFrame) -> DataFrame:

@@ -41,18 +41,18 @@ def restock_metrics(base: DataFrame, service_level: float = 0.95) -> DataFrame:
         "annual_d": fx.or_default(F.col("annual_demand").cast("double"), F.col("avg_d") * 365),
     })
     return (
-        filled
-        .withColumn("safety_stock", stock.safety_stock("std_d", "lead_time_days", service_level))
-        .withColumn("reorder_point", stock.reorder_point("avg_d", "lead_time_days", "safety_stock"))
-        .withColumn("economic_order_qty", stock.eoq("annual_d", "unit_cost"))
-        .withColumn("days_of_supply", stock.days_of_supply("current_stock", "avg_d"))
-        .withColumn("stockout_risk_score", stock.stockout_risk("days_of_supply", "lead_time_days"))
-        .withColumn("priority", stock.priority("days_of_supply"))
-        .withColumn("recommended_order_qty",
-                    stock.recommended_order("economic_order_qty", "reorder_point", "current_stock", "safety_stock"))
-        .withColumn("estimated_cost_inr", stock.estimated_cost("economic_order_qty", "unit_cost"))
-        .withColumn("annual_demand_units", F.col("annual_d").cast("long"))
-        .withColumn("avg_daily_demand", F.round("avg_d", 1))
+        filled.withColumns({
+            "safety_stock": stock.safety_stock("std_d", "lead_time_days", service_level),
+            "economic_order_qty": stock.eoq("annual_d", "unit_cost"),
+            "days_of_supply": stock.days_of_supply("current_stock", "avg_d"),
+            "annual_demand_units": F.col("annual_d").cast("long"), "avg_daily_demand": F.round("avg_d", 1),
+        }).withColumns({
+            "reorder_point": stock.reorder_point("avg_d", "lead_time_days", "safety_stock"),
+            "stockout_risk_score": stock.stockout_risk("days_of_supply", "lead_time_days"),
+            "priority": stock.priority("days_of_supply"),
+            "estimated_cost_inr": stock.estimated_cost("economic_order_qty", "unit_cost"),
+        }).withColumn("recommended_order_qty",
+                      stock.recommended_order("economic_order_qty", "reorder_point", "current_stock", "safety_stock"))
     )
 
 

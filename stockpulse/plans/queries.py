@@ -247,7 +247,7 @@ def dedupe_latest(spark, root):
 def weather_append_absent(spark, root):
     t = retail.load(spark, root)
     scores = t.weather.withColumn("score", F.col("score").cast("double"))
-    target = scores.filter(F.dayofmonth("date") % 2 == 0)
+    target = scores.filter(F.col("date") <= F.date_sub(F.lit(t.as_of), 365))
     fresh = scores.withColumn("score", F.col("score") + 100)
     return rounded(sinks.upsert_absent(fresh, target, ["region", "date"]))
 

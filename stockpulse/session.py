@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 #: Settings every job relies on. Shuffle partition count is left to AQE: it starts
 #: high on a cluster and is coalesced from the observed map output sizes.
@@ -62,5 +61,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Columns of a one-row result on every row of ``df``."""
-    return df.withColumn("_one", F.lit(1)).join(one_row.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Columns of a one-row result on every row of ``df``, as scalar subqueries: no join is planned."""
+    return df.withColumns({c: one_row.select(c).scalar() for c in one_row.columns})
