@@ -92,7 +92,7 @@ FROM sales s LEFT JOIN forecast_latest f ON f.sku_id=s.sku_id AND f.region=s.reg
 LEFT JOIN inventory_daily i ON i.sku_id=s.sku_id AND i.region=s.region AND i.date=s.date""",
     "region_daily": """
 SELECT region, date, CAST(sum(actual_sales) AS BIGINT) AS total_sales, sum(predicted_demand) AS total_predicted_demand,
-  round(avg(mape),6) AS avg_mape, round(100-avg(mape),6) AS forecast_accuracy_pct,
+  round(avg(mape),8) AS avg_mape, round(100-avg(mape),8) AS forecast_accuracy_pct,
   CAST(sum(stockout_events) AS BIGINT) AS stockout_events, CAST(sum(overstock_events) AS BIGINT) AS overstock_events,
   round((1-sum(stockout_events)/CAST(count(*) AS DOUBLE))*100,2) AS fulfillment_rate
 FROM kpi GROUP BY 1,2""",

@@ -17,8 +17,8 @@ mx AS (SELECT b.sku_id, v AS sales_velocity, coalesce(gm,20) AS gross_margin, tv
 
 
 _AS_OF = "(SELECT d FROM as_of_day)"
-_ROUNDED = """ SELECT sku_id, round(sales_velocity,6) AS sales_velocity, round(gross_margin,6) AS gross_margin, total_volume, round(seasonality_idx,6) AS seasonality_idx,
-  round(return_rate,6) AS return_rate, round(promo_sensitivity,6) AS promo_sensitivity, round(avg_order_value,6) AS avg_order_value FROM mx"""
+_ROUNDED = """ SELECT sku_id, round(sales_velocity,8) AS sales_velocity, round(gross_margin,6) AS gross_margin, total_volume, round(seasonality_idx,8) AS seasonality_idx,
+  round(return_rate,8) AS return_rate, round(promo_sensitivity,8) AS promo_sensitivity, round(avg_order_value,6) AS avg_order_value FROM mx"""
 _LABELS = _matrix("sales", "products", _AS_OF, 90, 30) + """,
 cl AS (SELECT *, CAST(regexp_extract(sku_id,'[0-9]+') AS INT)%6 AS cluster FROM mx),
 ce AS (SELECT cluster, avg(sales_velocity) AS v, avg(gross_margin) AS m FROM cl GROUP BY 1),

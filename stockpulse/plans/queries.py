@@ -127,7 +127,7 @@ def sku_daily_kpis(spark, root):
 
 @register
 def regional_daily_kpis(spark, root):
-    return rounded(kpis.regional_daily_kpis(_kpis(retail.load(spark, root))))
+    return rounded(kpis.regional_daily_kpis(_kpis(retail.load(spark, root))), 8)
 
 
 @register
@@ -457,15 +457,20 @@ def _matrix(t, **options) -> DataFrame:
                                          promotions.promo_lift(t.sales, t.promotions), t.as_of, **options)
 
 
+def _rounded_matrix(matrix: DataFrame) -> DataFrame:
+    """Ratios of counts can end in a 5 at the seventh decimal, so they keep eight."""
+    return rounded(rounded(matrix, 6, "gross_margin", "avg_order_value"), 8)
+
+
 @register
 def sku_feature_matrix(spark, root):
-    return rounded(_matrix(retail.load(spark, root)))
+    return _rounded_matrix(_matrix(retail.load(spark, root)))
 
 
 @register
 def sku_feature_matrix_part(spark, root):
     """Feature matrix at product grain: as many SKUs as there are parts."""
-    return rounded(_matrix(retail.load(spark, root, grain="part"), days=3650, min_rows=10))
+    return _rounded_matrix(_matrix(retail.load(spark, root, grain="part"), days=3650, min_rows=10))
 
 
 @register
