@@ -28,6 +28,9 @@ def build_session(app: str = "stockpulse", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
+_local_dirs: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
@@ -37,12 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    created = tempfile.mkdtemp(prefix="stockpulse-")
-    spark.conf.set("spark.checkpoint.dir", created)
-    spark.sparkContext.setCheckpointDir(created)
-    return created
+    if context.applicationId not in _local_dirs:
+        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="stockpulse-")
+    return _local_dirs[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
