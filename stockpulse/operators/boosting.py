@@ -61,6 +61,8 @@ def fit_gbt(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days:
     The training rows are written once: the learner reads them for training, validation and binning.
     """
     rows = stage(training_rows(sales, as_of, horizon, keys, train_days), "gbt_rows")
+    if rows.isEmpty():
+        raise ValueError("no (origin, target) pair in the training window")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
                        validationIndicatorCol="is_validation", **{**GBT_PARAMS, **params})
     return Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="features"), gbt]).fit(rows)

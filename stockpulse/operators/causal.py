@@ -79,8 +79,9 @@ def attribute_spikes(features: DataFrame, spikes: DataFrame, on) -> DataFrame:
 
     Coefficient times distance from the mean: exact Shapley values of a linear model with independent inputs.
     """
-    rows = features.na.drop(subset=["rolling_mean_28"]).withColumns(
-        {c: F.col(c).cast("double") for c in DRIVERS} | {"label": F.col("sales_qty").cast("double")})
+    typed = {c: F.col(c).cast("double") for c in DRIVERS} | {"label": F.col("sales_qty").cast("double")}
+    kept = features.select(*on, "sales_qty", *DRIVERS).na.drop(subset=["rolling_mean_28"])
+    rows = stage(kept.withColumns(typed), "drivers")
     vectors = VectorAssembler(inputCols=DRIVERS, outputCol="x").transform(rows)
     model = LinearRegression(featuresCol="x", labelCol="label", regParam=1e-6).fit(vectors)
     weights = [float(w) for w in model.coefficients]

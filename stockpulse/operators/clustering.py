@@ -11,7 +11,7 @@ from pyspark.storagelevel import StorageLevel
 
 from ..functions import labels
 from ..functions import scalar as fx
-from ..session import attach_row
+from ..session import attach_row, stage
 
 MATRIX_COLUMNS = ["sales_velocity", "gross_margin", "total_volume", "seasonality_idx", "return_rate",
                   "promo_sensitivity", "avg_order_value"]
@@ -74,8 +74,8 @@ def kmeans(df: DataFrame, k: int, seed: int = 42, features: str = "features") ->
     return KMeans(k=k, seed=seed, featuresCol=features, predictionCol="cluster").fit(df).transform(df)
 
 
-def find_optimal_k(df: DataFrame, k_range=(2, 10), seed: int = 42, features: str = "features") -> int:
-    """k with the best silhouette; only the vector column is held while fitting."""
+def best_silhouette(df: DataFrame, k_range=(2, 10), seed: int = 42, features: str = "features") -> tuple[int, float]:
+    """k with the best silhouette, and that silhouette; only the vector column is held while fitting."""
     vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         top = min(k_range[1], vectors.count() - 1)
@@ -88,11 +88,15 @@ def find_optimal_k(df: DataFrame, k_range=(2, 10), seed: int = 42, features: str
             value = score.evaluate(labelled)
             if value > best:
                 best_k, best = k, value
-        return best_k
+        return best_k, best
     finally:
         vectors.unpersist()
 
 
+def find_optimal_k(df: DataFrame, k_range=(2, 10), seed: int = 42, features: str = "features") -> int:
+    return best_silhouette(df, k_range, seed, features)[0]
+
+
 def label_clusters(clustered: DataFrame) -> DataFrame:
     """Label per cluster from its mean velocity and margin against the medians over the clusters."""
     centroids = clustered.groupBy("cluster").agg(F.avg("sales_velocity").alias("velocity"), F.avg("gross_margin").alias("margin"))
@@ -112,7 +116,11 @@ def describe_clusters(clustered: DataFrame) -> DataFrame:
 
 
 def cluster_skus(matrix: DataFrame, n_clusters: int | None = 4, features=None, seed: int = 42) -> DataFrame:
-    """Matrix rows with their cluster number; ``n_clusters=None`` picks k by silhouette."""
+    """Matrix rows with their cluster number; ``n_clusters=None`` picks k by silhouette.
+
+    The matrix is written once: scaler, components and K-means each read it again.
+    """
+    matrix = stage(matrix, "matrix")
     if matrix.isEmpty():
         return matrix.withColumns({"features": F.array().cast("array<double>"), "cluster": F.lit(0)})
     columns = fx.pick_columns(matrix, features, MATRIX_COLUMNS, ALIASES)

@@ -76,9 +76,10 @@ def train_anomaly_model(tables: RetailTables, days: int = 548) -> isolation_fore
 
 
 def train_clustering(matrix: DataFrame) -> dict:
-    scaled, _ = clustering.standardize(matrix, clustering.MATRIX_COLUMNS)
+    scaled, _ = clustering.standardize(stage(matrix, "matrix"), clustering.MATRIX_COLUMNS)
     reduced = clustering.principal_components(scaled, "scaled", len(clustering.MATRIX_COLUMNS))
-    return {"n_clusters": clustering.find_optimal_k(reduced)}
+    k, silhouette = clustering.best_silhouette(reduced)
+    return {"n_clusters": k, "silhouette": silhouette}
 
 
 def check_drift(tables: RetailTables) -> DataFrame:

@@ -500,13 +500,13 @@ def sku_clusters(spark, root):
 @register
 def sku_clusters_part(spark, root):
     matrix = _matrix(retail.load(spark, root, grain="part"), days=3650, min_rows=10)
-    return clustering.sku_clusters(stage(matrix, "matrix"), 4, ["velocity", "margin", "volume", "seasonality"])
+    return clustering.sku_clusters(matrix, 4, ["velocity", "margin", "volume", "seasonality"])
 
 
 @register
 def match_controls(spark, root):
     t = retail.load(spark, root, grain="part")
-    clustered = clustering.cluster_skus(stage(_matrix(t, days=3650, min_rows=10), "matrix"), 4)
+    clustered = clustering.cluster_skus(_matrix(t, days=3650, min_rows=10), 4)
     promoted = t.sales.groupBy("sku_id").agg(F.avg(F.col("is_promotion").cast("double")).alias("share")).filter("share > 0.25")
     return causal.match_controls(stage(clustered, "clustered"), promoted)
 

@@ -44,3 +44,46 @@ def test_regional_default_period(tables):
 def test_impact_parts(tables):
     parts = api.promo_impact(tables, ["Brand#1", "Brand#2"], "2001-02-01", "2001-03-31", discount_pct=10.0)
     assert set(parts) == {"lift", "decay", "cannibalization", "attribution"} and parts["lift"].count() == 1
+
+
+def dense(spark, long_rows=200, short_rows=40):
+    """Two series of different length ending on the same day."""
+    from conftest import day, sales_rows
+
+    a = sales_rows(spark, [20 + i % 7 for i in range(long_rows)])
+    b = sales_rows(spark, [10 + i % 3 for i in range(short_rows)], "B", days=range(long_rows - short_rows, long_rows))
+    return a.unionByName(b), day(long_rows - 1)
+
+
+def test_train_gate_promote(spark, tables):
+    """Errors of the models, the gate on them, and a promotion."""
+    from types import SimpleNamespace
+
+    from stockpulse.operators import monitoring
+    from stockpulse.plans import jobs
+
+    sales, as_of = dense(spark, 400, 150)
+    small = SimpleNamespace(sales=sales, as_of=as_of)
+    errors = jobs.train_all(small, "lookback").unionByName(jobs.train_all(small, "seasonal")).unionByName(
+        jobs.train_all(small, "boosted", maxIter=5, maxDepth=3))
+    rows = errors.collect()
+    assert [r.model_name for r in rows] == ["lookback", "seasonal", "boosted"] and all(r.avg_mape < 40 for r in rows)
+    assert monitoring.quality_gate(errors, threshold=40).first().passed
+    assert monitoring.promote_versions(tables.model_versions).filter("stage = 'Production'").count() == 2
+    with pytest.raises(ValueError):
+        jobs.train_all(small, "other")
+
+
+def test_members_and_fallback(spark):
+    """The short series takes the boosted value in place of the lookback."""
+    sales, as_of = dense(spark)
+    rows = api.forecast_members(sales, as_of, 7, maxIter=5, maxDepth=3).collect()
+    assert len(rows) == 2 * 7 and all(r.boosted >= 0 for r in rows)
+    assert all((r.lookback == r.boosted) == (r.sku_id == "B") for r in rows)
+
+
+def test_no_training_rows(spark):
+    from conftest import day, sales_rows
+
+    with pytest.raises(ValueError):
+        api.forecast_members(sales_rows(spark, [1, 2]), day(1), 7)
