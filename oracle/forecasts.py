@@ -8,24 +8,24 @@ def seasonal(source: str, keys: str, horizon: int, last: str = "last_date", name
     on = f"USING ({keys})"
     return f"""
 {name}_a AS (SELECT {keys}, date, CAST(sales_qty AS DOUBLE) AS y, is_holiday AS hol, is_promotion AS promo, isodow(date)-1 AS dow, month(date) AS mon,
-  min(date) OVER w AS first_date, max(date) OVER w AS last_date, avg(sales_qty) OVER w AS ybar FROM {source} WINDOW w AS (PARTITION BY {keys})),
-{name}_l AS (SELECT {keys}, regr_slope(y, date-first_date) AS slope, regr_intercept(y, date-first_date) AS icpt FROM {name}_a GROUP BY {keys}),
-{name}_b AS (SELECT *, greatest(coalesce(icpt+slope*(date-first_date), ybar), ybar*0.1e0) AS trend FROM {name}_a JOIN {name}_l {on}),
+  CAST(date - DATE '1970-01-01' AS DOUBLE) AS t FROM {source}),
+{name}_l AS (SELECT {keys}, coalesce(regr_slope(y, t),0) AS slope, avg(y) AS ybar, avg(t) AS tbar, max(date) AS last_date FROM {name}_a GROUP BY {keys}),
+{name}_b AS (SELECT *, greatest(ybar+slope*(t-tbar), ybar*0.1e0) AS trend FROM {name}_a JOIN {name}_l {on}),
 {name}_c AS (SELECT *, y/nullif(trend,0) AS r1 FROM {name}_b),
-{name}_d AS (SELECT *, coalesce(avg(r1) OVER (PARTITION BY {keys}, dow)/nullif(avg(r1) OVER (PARTITION BY {keys}),0),1) AS wk FROM {name}_c),
+{name}_d AS (SELECT *, coalesce(avg(r1) OVER (PARTITION BY {keys}, dow),1) AS wk FROM {name}_c),
 {name}_e AS (SELECT *, r1/nullif(wk,0) AS r2 FROM {name}_d),
-{name}_f AS (SELECT *, coalesce(avg(r2) OVER (PARTITION BY {keys}, mon)/nullif(avg(r2) OVER (PARTITION BY {keys}),0),1) AS yr FROM {name}_e),
+{name}_f AS (SELECT *, coalesce(avg(r2) OVER (PARTITION BY {keys}, mon),1) AS yr FROM {name}_e),
 {name}_g AS (SELECT *, r2/nullif(yr,0) AS r3 FROM {name}_f),
 {name}_h AS (SELECT *, coalesce(avg(r3) FILTER (WHERE hol) OVER w/nullif(avg(r3) FILTER (WHERE NOT hol) OVER w,0),1) AS he FROM {name}_g WINDOW w AS (PARTITION BY {keys})),
 {name}_i AS (SELECT *, CASE WHEN hol THEN r3/nullif(he,0) ELSE r3 END AS r4 FROM {name}_h),
 {name}_j AS (SELECT *, coalesce(avg(r4) FILTER (WHERE promo) OVER w/nullif(avg(r4) FILTER (WHERE NOT promo) OVER w,0),1) AS pe FROM {name}_i WINDOW w AS (PARTITION BY {keys})),
 {name}_k AS (SELECT *, trend*wk*yr*(CASE WHEN hol THEN he ELSE 1 END)*(CASE WHEN promo THEN pe ELSE 1 END) AS fit FROM {name}_j),
-{name}_p AS (SELECT {keys}, max(first_date) AS first_date, max({last}) AS last_date, max(ybar) AS ybar, max(slope) AS slope, max(icpt) AS icpt, max(he) AS he,
+{name}_p AS (SELECT {keys}, max({last}) AS last_date, max(ybar) AS ybar, max(tbar) AS tbar, max(slope) AS slope, max(he) AS he,
   coalesce(stddev_samp(y-fit),0) AS sd FROM {name}_k GROUP BY {keys}),
 {name}_w AS (SELECT DISTINCT {keys}, dow, wk FROM {name}_k),
 {name}_m AS (SELECT DISTINCT {keys}, mon, yr FROM {name}_k),
 {name}_q AS (SELECT *, CAST(last_date + CAST(h AS INT) AS DATE) AS date FROM {name}_p JOIN (SELECT unnest(generate_series(1,{horizon})) AS h) ON true),
-{name}_r AS (SELECT q.*, isodow(date)-1 AS dow, month(date) AS mon, greatest(coalesce(icpt+slope*(date-first_date), ybar), ybar*0.1e0) AS trend FROM {name}_q q),
+{name}_r AS (SELECT q.*, isodow(date)-1 AS dow, month(date) AS mon, greatest(ybar+slope*((date - DATE '1970-01-01')-tbar), ybar*0.1e0) AS trend FROM {name}_q q),
 {name} AS (SELECT {keys}, date, v AS seasonal, v-1.645e0*sd AS lower_bound, v+1.645e0*sd AS upper_bound FROM (
   SELECT r.*, trend*coalesce(wk,1)*coalesce(yr,1)*(CASE WHEN month(date)*100+day(date) IN (101,126,815,1002,1225) THEN he ELSE 1 END) AS v
   FROM {name}_r r LEFT JOIN {name}_w USING ({keys}, dow) LEFT JOIN {name}_m USING ({keys}, mon)))"""

@@ -45,26 +45,33 @@ def _effect(value: Column, flag: Column, keys) -> Column:
     return F.coalesce(_div(F.avg(F.when(flag, value)).over(w), F.avg(F.when(~flag, value)).over(w)), F.lit(1.0))
 
 
+def trend_at(t: Column) -> Column:
+    """Fitted line at a day number, never below a tenth of the series mean."""
+    return F.greatest(F.col("ybar") + F.col("slope") * (t - F.col("tbar")), F.col("ybar") * 0.1)
+
+
 def seasonal_params(sales: DataFrame, keys=SERIES_KEYS) -> DataFrame:
     """Trend x weekday x month x holiday x promotion factors, one row per series.
 
     Each factor is fitted on what the earlier ones leave unexplained. The trend is a least-squares line
-    over the day number, never below a tenth of the series mean.
+    over the day number.
     """
     w = _over(keys)
-    y, t = F.col("sales_qty").cast("double"), F.col("t")
+    y = F.col("sales_qty").cast("double")
     holiday, promo = F.coalesce("is_holiday", F.lit(False)), F.coalesce("is_promotion", F.lit(False))
-    line = F.coalesce(F.col("intercept") + F.col("slope") * t, F.col("ybar"))
+
+    def typical(ratio: str, part: str) -> Column:
+        """Mean ratio in one part of the season, 1 where undefined."""
+        return F.coalesce(F.avg(ratio).over(_over(keys, part)), F.lit(1.0))
+
     fitted_rows = (
-        sales.select(*keys, "date", y.alias("y"), holiday.alias("hol"), promo.alias("promo"))
-        .withColumns({"first_date": F.min("date").over(w), "last_date": F.max("date").over(w), "ybar": F.avg("y").over(w)})
-        .withColumn("t", F.datediff("date", "first_date").cast("double"))
-        .withColumns({"slope": F.regr_slope("y", "t").over(w), "intercept": F.regr_intercept("y", "t").over(w),
-                      "dow": fx.day_of_week("date"), "mon": F.month("date")})
-        .withColumn("trend", F.greatest(line, F.col("ybar") * 0.1))
-        .withColumn("r1", _div("y", "trend"))
-        .withColumn("weekly", _index(F.col("r1"), keys, F.col("dow"))).withColumn("r2", _div("r1", "weekly"))
-        .withColumn("yearly", _index(F.col("r2"), keys, F.col("mon"))).withColumn("r3", _div("r2", "yearly"))
+        sales.select(*keys, "date", y.alias("y"), holiday.alias("hol"), promo.alias("promo"), F.unix_date("date").cast("double").alias("t"),
+                     fx.day_of_week("date").alias("dow"), F.month("date").alias("mon"))
+        .withColumns({"last_date": F.max("date").over(w), "ybar": F.avg("y").over(w), "tbar": F.avg("t").over(w),
+                      "slope": F.coalesce(F.regr_slope("y", "t").over(w), F.lit(0.0))})
+        .withColumn("trend", trend_at(F.col("t"))).withColumn("r1", _div("y", "trend"))
+        .withColumn("weekly", typical("r1", "dow")).withColumn("r2", _div("r1", "weekly"))
+        .withColumn("yearly", typical("r2", "mon")).withColumn("r3", _div("r2", "yearly"))
         .withColumn("holiday_effect", _effect(F.col("r3"), F.col("hol"), keys))
         .withColumn("r4", F.when(F.col("hol"), _div("r3", "holiday_effect")).otherwise(F.col("r3")))
         .withColumn("promo_effect", _effect(F.col("r4"), F.col("promo"), keys))
@@ -76,7 +83,7 @@ def seasonal_params(sales: DataFrame, keys=SERIES_KEYS) -> DataFrame:
     def factors(column: str, part: str, values) -> Column:
         return F.array(*[F.coalesce(F.max(F.when(F.col(part) == v, F.col(column))), F.lit(1.0)) for v in values])
 
-    single = ["first_date", "last_date", "ybar", "slope", "intercept", "holiday_effect", "promo_effect"]
+    single = ["last_date", "ybar", "tbar", "slope", "holiday_effect", "promo_effect"]
     return fitted_rows.groupBy(*keys).agg(
         *[F.max(c).alias(c) for c in single],
         factors("weekly", "dow", range(7)).alias("weekly"), factors("yearly", "mon", range(1, 13)).alias("yearly"),
@@ -91,8 +98,7 @@ def future_rows(params: DataFrame, horizon: int) -> DataFrame:
 
 def seasonal_forecast(params: DataFrame, horizon: int, keys=SERIES_KEYS, planned_promos: DataFrame | None = None) -> DataFrame:
     """Member forecast with a 90 % interval. ``planned_promos`` marks (series, date) rows on promotion."""
-    t = F.datediff("date", "first_date")
-    trend = F.greatest(F.coalesce(F.col("intercept") + F.col("slope") * t, F.col("ybar")), F.col("ybar") * 0.1)
+    trend = trend_at(F.unix_date("date"))
     weekly = F.element_at("weekly", fx.day_of_week("date") + 1)
     yearly = F.element_at("yearly", F.month("date"))
     days = future_rows(params, horizon)
