@@ -16,21 +16,38 @@ CLUSTER_STRATEGIES = {
 }
 
 
+#: Cause texts, in the order their rules are tried; the last applies when no rule does.
+CAUSES = (
+    "Promotion spike",
+    "Festive demand surge",
+    "Supply disruption",
+    "Competitor price event",
+    "Adverse weather impact",
+    "Unexplained anomaly",
+)
+#: Strict bounds of the stock drop (percent), price difference (percent) and weather score.
+DROP_LIMIT, PRICE_LIMIT, WEATHER_LIMIT = 30, 15, -0.5
+
+
 def direction(actual, expected) -> Column:
     return F.when(_c(actual) > _c(expected), "spike").otherwise("drop")
 
 
 def probable_cause(promo="is_promotion", moved="direction", holiday="is_holiday", drop_pct="inventory_drop_pct",
                    price_delta="competitor_price_delta", weather="weather_score") -> Column:
-    """First matching rule wins; bounds are strict."""
-    return (
-        F.when(_c(promo) & (_c(moved) == "spike"), "Promotion spike")
-        .when(_c(holiday), "Festive demand surge")
-        .when(F.coalesce(_c(drop_pct), F.lit(0.0)) > 30, "Supply disruption")
-        .when(F.abs(F.coalesce(_c(price_delta), F.lit(0.0))) > 15, "Competitor price event")
-        .when((_c(moved) == "drop") & (F.coalesce(_c(weather), F.lit(0.0)) < -0.5), "Adverse weather impact")
-        .otherwise("Unexplained anomaly")
-    )
+    """First matching rule wins; bounds are strict, missing measurements count as 0."""
+    def known(c) -> Column:
+        return F.coalesce(_c(c), F.lit(0.0))
+
+    rules = [
+        _c(promo) & (_c(moved) == "spike"),
+        _c(holiday),
+        known(drop_pct) > DROP_LIMIT,
+        F.abs(known(price_delta)) > PRICE_LIMIT,
+        (_c(moved) == "drop") & (known(weather) < WEATHER_LIMIT),
+    ]
+    matched = [F.when(rule, F.lit(text)) for rule, text in zip(rules, CAUSES)]
+    return F.coalesce(*matched, F.lit(CAUSES[-1]))
 
 
 def minmax_score(raw, low, high) -> Column:

@@ -13,6 +13,7 @@ from ..functions import labels
 from ..functions import scalar as fx
 from ..session import attach_row, stage
 
+#: The seven features.
 MATRIX_COLUMNS = ["sales_velocity", "gross_margin", "total_volume", "seasonality_idx", "return_rate",
                   "promo_sensitivity", "avg_order_value"]
 #: Short names accepted for features.

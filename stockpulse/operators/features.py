@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as fx
 from ..schemas import FACT_KEYS, SERIES_KEYS
 
+#: Lags in days, and the column lists of the feature store and of the detector.
 LAGS = (7, 14, 21, 28)
 FEATURE_COLUMNS = FACT_KEYS + [
     "sales_qty", "lag_7", "lag_14", "lag_21", "lag_28", "rolling_mean_7", "rolling_mean_28", "rolling_std_7",
