@@ -28,7 +28,8 @@ _ORDER = " ORDER BY CASE pri WHEN 'critical' THEN 0 WHEN 'warning' THEN 1 ELSE 2
 KPIS = {
     "restock_plan": _restock("1.65e0") + _ORDER + "500",
     "restock_plan_99": _restock("2.33e0"),
-    "restock_critical_by_region": _restock("1.65e0")
+    "restock_critical": _restock("1.65e0") + " WHERE pri='critical'" + _ORDER + "500",
+    "restock_filtered": _restock("1.65e0")
     + " WHERE region='ASIA' AND pri='warning' AND category='Apparel'" + _ORDER + "20",
     "stockout_risk_summary": """
 WITH dd AS (SELECT sku_id, region, avg(sales_qty) AS a FROM sales WHERE date >= (SELECT d FROM as_of_day)-30 GROUP BY 1,2)

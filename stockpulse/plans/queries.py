@@ -55,7 +55,14 @@ def restock_plan_99(spark, root):
 
 
 @register
-def restock_critical_by_region(spark, root):
+def restock_critical(spark, root):
+    t = retail.load(spark, root)
+    return restock.restock_plan(t.sales, t.inventory, t.products, t.as_of, priority="critical", limit=500)
+
+
+@register
+def restock_filtered(spark, root):
+    """Every optional argument set."""
     t = retail.load(spark, root)
     return restock.restock_plan(t.sales, t.inventory, t.products, t.as_of, region="ASIA", priority="warning",
                                 category="Apparel", limit=20)
