@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,3 +47,8 @@ def word_count(text: Column) -> Column:
 
 def byte_length(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def process_cache() -> dict:
+    """A dict that lives as long as the Python worker: what is loaded once serves all its tasks."""
+    return sys.modules.setdefault("_stockpulse_process_cache", types.ModuleType("_stockpulse_process_cache")).__dict__

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import exact_dedup, simhash_dedup
+from . import exact_dedup, mixing, packing, simhash_dedup
 from .common import table
 
 QUERIES, STATEMENTS = {}, {}
@@ -20,6 +21,17 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@register
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = (F.col("size") * F.col("copies")).alias("taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken, "shards")
+
+
+@register
+def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 @register
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
