@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, simhash_dedup
+from . import exact_dedup, mixing, packing, quality, simhash_dedup
 from .common import table
 
 QUERIES, STATEMENTS = {}, {}
@@ -16,6 +16,12 @@ def register(fn):
     return fn
 
 
+@register
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "host", "path", "own", "host_rate", "path_rate", "quality", "keep")
+
+
 @register
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
