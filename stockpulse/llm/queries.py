@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, mixing, packing, quality, simhash_dedup
+from . import exact_dedup, language_id, mixing, packing, quality, simhash_dedup, toxicity
 from .common import table
 
 QUERIES, STATEMENTS = {}, {}
@@ -38,6 +38,20 @@ def op7_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@register
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "severity", "grade", "p_toxic", "toxic")
+
+
+@register
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    langs, logs = language_id.train(docs.filter(~language_id.held_out()))
+    found = language_id.identify(docs, langs, logs)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score", "langs")
+
+
 @register
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).select(
