@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, language_id, mixing, packing, quality, simhash_dedup, toxicity
+from . import exact_dedup, language_id, mixing, neighbours, packing, quality, sharding, simhash_dedup, suffix_dedup, toxicity
 from .common import table
 
 QUERIES, STATEMENTS = {}, {}
@@ -27,6 +27,23 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+@register
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@register
+def op4_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", "law", "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register
+def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = (F.col("size") * F.col("copies")).alias("taken")
