@@ -8,6 +8,8 @@ import types
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import stage
+
 #: ASCII white space, \x20 and \x09-\x0D; nothing else counts as space in these operators.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 WORD = r"[^\x20\x09-\x0D]+"
@@ -17,6 +19,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def readable_again(df: DataFrame) -> DataFrame:
+    """``df`` if it is a plain scan, whose rows come in the same places each time; else a copy in the shared folder.
+
+    After a shuffle the places may differ from one evaluation to the next, and with them the row keys.
+    """
+    shuffled = "AdaptiveSparkPlan" in df._jdf.queryExecution().executedPlan().toString()
+    return stage(df, "input") if shuffled else df
+
+
 def with_row_key(df: DataFrame, name: str = "_row") -> DataFrame:
     """Number every row by (scan partition, place): rows that are alike in every column stay apart.
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import stage
-from .common import keep_rows, with_row_key, without_spaces
+from .common import keep_rows, readable_again, with_row_key, without_spaces
 
 #: Bits of the hash that the directory may use.
 MAX_DEPTH = 12
@@ -81,4 +81,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` less all but the best row of each group of equal texts; its columns are unchanged."""
+    docs = readable_again(docs)
     return keep_rows(docs, exact_groups(docs, id_col, text_col).filter("kept"))

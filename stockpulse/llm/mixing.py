@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import stage
-from .common import with_row_key, word_count
+from .common import readable_again, with_row_key, word_count
 
 #: Blocks of a source at most; a block has some rows of its source, however many there are.
 BLOCKS = 1024
@@ -153,6 +153,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix, with the columns of ``docs``: a row taken twice is there twice."""
+    docs = readable_again(docs)
     name = "_row"
     while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"

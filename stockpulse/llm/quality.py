@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import attach_row, stage
-from .common import keep_rows, with_row_key
+from .common import keep_rows, readable_again, with_row_key
 
 #: Labelled rows the classifier is fitted on: all, or about so many, chosen by a hash of the id.
 TRAIN_ROWS, SEED, ITERATIONS = 50_000, 29, 60
@@ -164,4 +164,5 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with its columns."""
+    docs = readable_again(docs)
     return keep_rows(docs, score(docs, labels, **options).filter("keep"))

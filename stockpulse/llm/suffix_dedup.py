@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import process_cache, with_row_key
+from .common import process_cache, readable_again, with_row_key
 
 LENGTH, GRAM, SPAN, STEP = 400, 16, 256, 64
 #: Windows of a text that are worked on at a time.
@@ -247,7 +247,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     across documents, and never cross from one into another; repeated rows are copies of each other, so a
     text of ``LENGTH`` bytes that occurs twice goes whole. Spans are byte ranges [start, end) of the input.
     """
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, readable_again(docs)
     rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")))
     kind = rows.schema["doc_id"].dataType.simpleString()
     with _shuffles_freed(spark):
