@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product, over a forest of sorted hash strings.
 
-Vectors are set on a sphere (one more component makes their lengths equal, so the nearest by angle is the
-largest inner product). Every tree gives a vector a long string of hyperplane bits and keeps the strings
+Entries are set on a sphere (one more component makes their lengths equal, and is 0 in queries), so the
+nearest by angle has the largest inner product. Every tree gives a vector a long string of hyperplane bits and keeps the strings
 sorted, cut into cells by their first bits. A query descends to the longest prefix it shares in each tree
 and looks at what is below; then it ascends in all trees at once. How far is set by the target recall: a
 neighbour at the angle of the best candidates found so far shares a prefix of d bits in at least one of
@@ -34,9 +34,9 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return rows.filter(F.coalesce(fine, F.lit(False)) & F.exists("v", lambda x: x != 0))
 
 
-def _hash(x: np.ndarray, longest: float, planes: np.ndarray, bits: int) -> np.ndarray:
-    """(rows, trees) hash strings as integers."""
-    rest = np.sqrt(np.maximum(longest * longest - (x * x).sum(axis=1), 0))
+def _hash(x: np.ndarray, longest: float | None, planes: np.ndarray, bits: int) -> np.ndarray:
+    """(rows, trees) hash strings as integers; of entries, set on a sphere of radius ``longest``, or of queries, with None."""
+    rest = np.sqrt(np.maximum(longest * longest - (x * x).sum(axis=1), 0)) if longest else np.zeros(len(x))
     side = np.concatenate([x, rest[:, None]], axis=1) @ planes > 0
     return side.reshape(len(x), -1, bits) @ (1 << np.arange(bits - 1, -1, -1, dtype=np.int64))
 
@@ -60,7 +60,7 @@ def _looked(k: int, bits: int):
                 a, b = np.searchsorted(strings, [low, low + (1 << (bits - depth))])
                 if a == b:
                     continue
-                s = x[a:b] @ q
+                s = (x[a:b] * q).sum(axis=1)  # row by row in one order: equal pairs have equal scores
                 best = np.argpartition(-s, k - 1)[:k] if b - a > k else np.arange(b - a)
                 best = np.flatnonzero(s >= s[best].min()) if b - a > k else best
                 out += [(query, int(ids[a + i]), float(s[i])) for i in best]
@@ -134,22 +134,24 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     def strings(batches):
         for b in batches:
             x = np.asarray(b["v"].flatten().to_numpy(zero_copy_only=False), float).reshape(b.num_rows, width)
-            found = _hash(x, longest, planes, bits)
-            yield pa.RecordBatch.from_arrays([b["group"], b["asked"], b["v"], pa.array(list(found), pa.list_(pa.int64()))], ["group", "asked", "v", "strings"])
+            found = [pa.array(list(_hash(x, r, planes, bits)), pa.list_(pa.int64())) for r in (longest, None)]
+            yield pa.RecordBatch.from_arrays([b["group"], b["asked"], b["v"], *found], ["group", "asked", "v", "strings", "own"])
 
     # entries asked for: those with a query among all of their ids, not only the smallest ones
     wanted = asked_ids.select("code", "v").distinct().withColumn("asked", F.lit(True))
     marked = entries.join(wanted, ["code", "v"], "left").select("group", F.coalesce("asked", F.lit(False)).alias("asked"), "v")
-    hashed = stage(marked.mapInArrow(strings, "group long, asked boolean, v array<double>, strings array<long>"), "hash-strings")
-    forest = hashed.select("group", "asked", "v", F.posexplode("strings").alias("tree", "string")).withColumn("cell", F.shiftright("string", bits - cell_bits))
+    hashed = stage(marked.mapInArrow(strings, "group long, asked boolean, v array<double>, strings array<long>, own array<long>"), "hash-strings")
+    forest = hashed.select("group", "v", F.posexplode("strings").alias("tree", "string")).withColumn("cell", F.shiftright("string", bits - cell_bits))
     sizes = forest.groupBy("tree", "cell").agg(F.ceil(F.count("*") / cell).cast("int").alias("salts"))
     sizes = stage(sizes, "forest-cells")
-    queries = forest.filter("asked").select("tree", "string", "group", "v")
+    queries = hashed.filter("asked").select("group", "v", F.posexplode("own").alias("tree", "string"))
 
     first = stage(_best(_look(forest, sizes, queries.withColumn("depth", F.lit(first_depth)), cell_bits, k + 1, bits), k + 1), "first-look")
     # the angle of the k-th candidate on the sphere; with fewer candidates the query ascends to the least depth
     kth = first.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
-    p = 1 - F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("kth") / (longest * longest)))) / np.pi
+    norms = hashed.filter("asked").select(F.col("group").alias("query"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
+    kth = kth.join(norms, "query")
+    p = 1 - F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("kth") / (F.col("norm") * longest)))) / np.pi
     miss = 1 - (1 - recall) ** (1 / trees)  # one tree must find a neighbour with this probability
     depth = F.floor(F.log(F.lit(miss)) / F.log(F.least(p, F.lit(1 - 1e-9))))
     depth = F.when(F.col("n") > k, F.greatest(F.lit(least_depth), F.least(F.lit(first_depth), depth))).otherwise(least_depth)
