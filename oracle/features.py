@@ -22,8 +22,16 @@ FROM g LEFT JOIN {source} y ON y.sku_id=g.sku_id AND y.region=g.region AND y.dat
 WHERE lag_7 IS NOT NULL AND m7 IS NOT NULL"""
 
 
-_RECENT = "WITH base AS (SELECT sku_id, region, date, sales_qty, is_holiday, is_promotion FROM sales WHERE date BETWEEN (SELECT d FROM as_of_day)-400 AND (SELECT d FROM as_of_day))"
-DENSE = """dense AS (SELECT c.sku_id, c.region, c.date, coalesce(b.sales_qty,0) AS sales_qty,
+
+
+def _recent(day: str = "(SELECT d FROM as_of_day)") -> str:
+    return ("WITH base AS MATERIALIZED (SELECT sku_id, region, date, sales_qty, is_holiday, is_promotion FROM sales "
+            f"WHERE date BETWEEN {day}-400 AND {day})")
+
+
+_RECENT = _recent()
+_EARLIER = "(SELECT d-5 FROM as_of_day)"
+DENSE = """dense AS MATERIALIZED (SELECT c.sku_id, c.region, c.date, coalesce(b.sales_qty,0) AS sales_qty,
   month(c.date)*100+day(c.date) IN (101,126,815,1002,1225) AS is_holiday, coalesce(b.is_promotion,false) AS is_promotion
   FROM (SELECT sku_id, region, CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
         FROM base GROUP BY 1,2) c
@@ -32,6 +40,9 @@ DENSE = """dense AS (SELECT c.sku_id, c.region, c.date, coalesce(b.sales_qty,0)
 FEATURES = {
     "features_rows": _RECENT + _feature_rows("base", 1, 1),
     "features_calendar": _RECENT + ", " + DENSE + _feature_rows("dense", 7, 28),
+    "features_two_runs": f"""
+SELECT sku_id, region, date, sales_qty, lag_7, lag_28, is_promotion FROM ({_recent()}{_feature_rows("base", 1, 1)}) WHERE date > (SELECT d FROM as_of_day)-7
+UNION ALL SELECT sku_id, region, date, sales_qty, lag_7, lag_28, is_promotion FROM ({_recent(_EARLIER)}{_feature_rows("base", 1, 1)}) WHERE date > {_EARLIER}-7 AND date <= (SELECT d FROM as_of_day)-7""",
     "yoy_ratio": """
 SELECT s.sku_id, s.region, s.date, s.sales_qty, round(s.sales_qty/CAST(y.sales_qty+1 AS DOUBLE),6) AS yoy_ratio
 FROM sales s JOIN sales y ON y.sku_id=s.sku_id AND y.region=s.region AND y.date=s.date-365""",

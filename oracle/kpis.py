@@ -39,6 +39,8 @@ SELECT i.region, count(*) FILTER (WHERE quantity_on_hand/nullif(a,0) < 5) AS cri
 FROM inventory i JOIN dd USING (sku_id, region) WHERE i.snapshot_date=(SELECT d FROM as_of_day)-1 GROUP BY 1""",
     "sku_daily_kpis": "SELECT * FROM kpi",
     "regional_daily_kpis": "SELECT * FROM region_daily",
+    "views_after_refresh": "SELECT * FROM region_daily WHERE date > (SELECT d FROM as_of_day) - 200",
+    "inventory_two_days": "SELECT sku_id, warehouse_id, snapshot_date, quantity_on_hand FROM inventory",
     "regional_kpis": """
 WITH rd AS (SELECT region, date, sum(actual_sales) AS ts, sum(predicted_demand) AS tp, avg(mape) AS m, sum(stockout_events) AS so,
   sum(overstock_events) AS oo, round((1-sum(stockout_events)/CAST(count(*) AS DOUBLE))*100,2) AS fr FROM kpi
@@ -57,7 +59,7 @@ val AS (SELECT sum(a) AS v FROM (SELECT region, avg(v) AS a FROM (SELECT region,
 dem AS (SELECT sku_id, region, avg(sales_qty) AS a FROM sales WHERE date >= (SELECT d FROM as_of_day)-29 GROUP BY 1,2),
 sav AS (SELECT sum(greatest(0, a*30 - greatest(1, round_even(sqrt(2e0*a*365*500/(unit_cost_inr*0.25e0)),0)))/2*unit_cost_inr*0.25e0*30/365) AS s
   FROM dem JOIN products USING (sku_id)),
-cov AS (SELECT avg(CASE WHEN quantity_on_hand>=sales_qty THEN 1e0 ELSE 0e0 END)*100 AS c FROM sales s JOIN inventory_daily i
+cov AS (SELECT avg(CASE WHEN quantity_on_hand>=sales_qty THEN 1e0 ELSE 0e0 END)*100 AS c FROM sales s LEFT JOIN inventory_daily i
   ON s.sku_id=i.sku_id AND s.region=i.region AND s.date=i.date WHERE s.date >= (SELECT d FROM as_of_day)-29),
 ts AS (SELECT date, sales_qty, avg(sales_qty) OVER w AS m, stddev_samp(sales_qty) OVER w AS sd, count(*) OVER w AS n FROM sales
   WINDOW w AS (PARTITION BY sku_id, region ORDER BY date ROWS BETWEEN 28 PRECEDING AND 1 PRECEDING)),
@@ -73,7 +75,7 @@ v AS (SELECT region, avg(v) AS av FROM (SELECT region, snapshot_date, sum(quanti
 SELECT region, round(cogs,4) AS cogs, round(av,4) AS avg_value, round(cogs/av*365/30,4) AS inventory_turnover FROM cg JOIN v USING (region)""",
     "demand_coverage": """
 SELECT s.region, count(*) AS demand_events, round(avg(CASE WHEN quantity_on_hand>=sales_qty THEN 1e0 ELSE 0e0 END)*100,6) AS demand_coverage_pct
-FROM sales s JOIN inventory_daily i ON s.sku_id=i.sku_id AND s.region=i.region AND s.date=i.date
+FROM sales s LEFT JOIN inventory_daily i ON s.sku_id=i.sku_id AND s.region=i.region AND s.date=i.date
 WHERE s.date >= (SELECT d FROM as_of_day)-29 GROUP BY 1""",
     "overstock_saving": """
 WITH dem AS (SELECT sku_id, region, avg(sales_qty) AS a FROM sales WHERE date >= (SELECT d FROM as_of_day)-29 GROUP BY 1,2)

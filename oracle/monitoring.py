@@ -37,10 +37,10 @@ def _expanded(before: int, after: int, name: str = "ex") -> str:
 _DAYS = "DATE '2000-03-01'", "DATE '2000-04-30'"
 
 
-def _did(treated: str) -> str:
+def _did(treated: str, where: str = "true") -> str:
     return f"""
 WITH w AS (SELECT *, date >= {_DAYS[0]} AS post, {treated} AS tr FROM sales
-  WHERE date BETWEEN {_DAYS[0]}-61 AND {_DAYS[1]}),
+  WHERE {where} AND date BETWEEN {_DAYS[0]}-61 AND {_DAYS[1]}),
 m AS (SELECT avg(sales_qty) FILTER (WHERE tr AND NOT post) AS t_pre, avg(sales_qty) FILTER (WHERE tr AND post) AS t_post,
   avg(sales_qty) FILTER (WHERE NOT tr AND NOT post) AS c_pre, avg(sales_qty) FILTER (WHERE NOT tr AND post) AS c_post,
   count(*) FILTER (WHERE tr AND post) AS treated_rows,
@@ -84,7 +84,8 @@ SELECT * REPLACE (l_tax+0e0 AS l_tax), row_number() OVER (PARTITION BY l_orderke
     "weather_append_absent": """
 SELECT region, date, round(CASE WHEN date<=(SELECT d FROM as_of_day)-365 THEN score ELSE score+100 END,6) AS score FROM weather""",
     "weather_scores": """
-SELECT region, date, round((score*10+290-295)/10,2)+0e0 AS score, CASE region WHEN 'Punjab' THEN 'Chandigarh' ELSE 'unknown' END AS city FROM weather""",
+SELECT region, date, round((score*10+290-295)/10,2)+0e0 AS score, map_extract_value(map(
+  ['AFRICA','AMERICA','ASIA','EUROPE','MIDDLE EAST'], ['Chandigarh','Mumbai','Bengaluru','Delhi','Chennai']), region) AS city FROM weather""",
     "dq_unique": "SELECT sku_id, date, count(*) AS copies FROM competitor GROUP BY 1,2 HAVING count(*)>1",
     "dq_not_null": """
 SELECT unnest(['sku_id','region','target_date','predicted_qty','realized_mape']) AS column_name,
@@ -123,7 +124,7 @@ SELECT sku_id, round(d,6) AS during, round(b,6) AS baseline, round((d-b)/nullif(
     "did_lift": _did(_SKUS) + """
 SELECT 'discount' AS promotion_type, round(t_pre,4) AS t_pre, round(t_post,4) AS t_post, round(c_pre,4) AS c_pre, round(c_post,4) AS c_post, treated_rows,
   round(did,4) AS did, round(t_post/nullif(ex,0),4) AS lift_multiplier, round(did*treated_rows*ur,4) AS incremental_revenue_inr FROM r""",
-    "price_elasticity": _did(_SKUS + " AND region IN ('ASIA','EUROPE')") + """
+    "price_elasticity": _did(_SKUS, "region IN ('ASIA','EUROPE')") + """
 SELECT 'bogo' AS promotion_type, round(did,6) AS did, round(did/ex*100/-20,6) AS price_elasticity FROM r""",
     "cannibalization": f"""
 WITH w AS (SELECT category, {_SKUS} AS tr, CASE WHEN date>={_DAYS[0]} THEN sales_qty ELSE -sales_qty END AS q FROM sales JOIN products USING (sku_id)

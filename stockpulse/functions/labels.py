@@ -16,15 +16,6 @@ CLUSTER_STRATEGIES = {
 }
 
 
-#: Cause texts, in the order their rules are tried; the last applies when no rule does.
-CAUSES = (
-    "Promotion spike",
-    "Festive demand surge",
-    "Supply disruption",
-    "Competitor price event",
-    "Adverse weather impact",
-    "Unexplained anomaly",
-)
 #: Strict bounds of the stock drop (percent), price difference (percent) and weather score.
 DROP_LIMIT, PRICE_LIMIT, WEATHER_LIMIT = 30, 15, -0.5
 
@@ -39,15 +30,12 @@ def probable_cause(promo="is_promotion", moved="direction", holiday="is_holiday"
     def known(c) -> Column:
         return F.coalesce(_c(c), F.lit(0.0))
 
-    rules = [
-        _c(promo) & (_c(moved) == "spike"),
-        _c(holiday),
-        known(drop_pct) > DROP_LIMIT,
-        F.abs(known(price_delta)) > PRICE_LIMIT,
-        (_c(moved) == "drop") & (known(weather) < WEATHER_LIMIT),
-    ]
-    matched = [F.when(rule, F.lit(text)) for rule, text in zip(rules, CAUSES)]
-    return F.coalesce(*matched, F.lit(CAUSES[-1]))
+    return (F.when(_c(promo) & (_c(moved) == "spike"), "Promotion spike")
+            .when(_c(holiday), "Festive demand surge")
+            .when(known(drop_pct) > DROP_LIMIT, "Supply disruption")
+            .when(F.abs(known(price_delta)) > PRICE_LIMIT, "Competitor price event")
+            .when((_c(moved) == "drop") & (known(weather) < WEATHER_LIMIT), "Adverse weather impact")
+            .otherwise("Unexplained anomaly"))
 
 
 def minmax_score(raw, low, high) -> Column:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,10 +92,6 @@ def from_event_json(value, schema: str) -> Column:
     return F.from_json(_c(value), schema)
 
 
-def all_of(conditions) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
-
-
 def optional_equals(df: DataFrame, **wanted) -> DataFrame:
     """Equality filters for the arguments that are set; None means no filter."""
     for name, value in wanted.items():

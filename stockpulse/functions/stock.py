@@ -12,7 +12,6 @@ SERVICE_LEVEL_Z = {0.90: 1.28, 0.95: 1.65, 0.99: 2.33}
 DEFAULT_Z = 1.65
 HOLDING_PCT = 0.25
 ORDERING_COST_INR = 500.0
-PRIORITY_RANK = {"critical": 0, "warning": 1, "healthy": 2}
 
 
 def z_value(service_level: float) -> float:

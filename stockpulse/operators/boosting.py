@@ -17,6 +17,7 @@ from .features import series_window
 GBT_PARAMS = dict(maxIter=400, stepSize=0.05, maxDepth=6, subsamplingRate=0.8, featureSubsetStrategy="0.8",
                   minInstancesPerNode=5, validationTol=0.001, seed=42, maxBins=64)
 TRAIN_DAYS = 548
+HORIZONS = (1, 7, 14, 28, 60, 90, 180, 365)
 ORIGIN_FEATURES = ["lag_0", "lag_7", "lag_14", "lag_21", "lag_28", "mean_7", "mean_28", "std_7", "series_mean"]
 INPUTS = ORIGIN_FEATURES + ["dow", "month", "holiday", "horizon"]
 
@@ -40,28 +41,31 @@ def _target_features(df: DataFrame) -> DataFrame:
     }).withColumns({"dow": fx.day_of_week("date"), "month": F.month("date"), "holiday": fx.is_holiday("date").cast("double")})
 
 
-def training_rows(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days: int = TRAIN_DAYS) -> DataFrame:
-    """(series, weekly origin, horizon) rows with the sales of the target day.
+def training_rows(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days: int = TRAIN_DAYS, origin_every: int = 1,
+                  horizons=HORIZONS) -> DataFrame:
+    """(series, origin, horizon) rows with the sales of the target day.
 
-    The window features are computed before the origins are thinned, so a feature never depends on
-    which weekday is kept. Targets lie after their origin, features do not.
+    Every day of the last ``train_days`` is an origin, or every ``origin_every``-th one counted back from
+    ``as_of``; the window features are computed before. The learner is trained on those ``horizons``
+    below the one asked for, and on it. Targets lie after their origin, features do not.
     """
-    grid = sorted({h for h in (1, 7, 14, 28, 60, 90, 180, 365) if h < horizon} | {horizon})
-    weekly = F.pmod(F.datediff(F.lit(as_of).cast("date"), "origin"), F.lit(7)) == 0
-    origins = origin_features(sales, keys).filter(weekly & (F.col("origin") >= F.date_sub(F.lit(as_of), train_days)))
+    grid = sorted({h for h in horizons if h < horizon} | {horizon})
+    spaced = F.pmod(F.datediff(F.lit(as_of).cast("date"), "origin"), F.lit(origin_every)) == 0
+    origins = origin_features(sales, keys).filter(spaced & (F.col("origin") >= F.date_sub(F.lit(as_of), train_days)))
     rows = _target_features(origins.withColumn("horizon", F.explode(F.array(*[F.lit(h) for h in grid]))))
     labels = sales.select(*keys, "date", F.col("sales_qty").cast("double").alias("label"))
     recent = F.col("date") > F.date_sub(F.lit(as_of), max(28, train_days // 10))
     return rows.join(labels, [*keys, "date"]).withColumn("is_validation", recent)
 
 
-def fit_gbt(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days: int = TRAIN_DAYS, **params) -> PipelineModel:
+def fit_gbt(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days: int = TRAIN_DAYS,
+            origin_every: int = 1, **params) -> PipelineModel:
     """Fit on the trailing history; stops early on the newest targets.
 
     The training rows are written once: the learner reads them for training, validation and binning.
     """
-    rows = stage(training_rows(sales, as_of, horizon, keys, train_days), "gbt_rows")
-    if rows.isEmpty():
+    rows = stage(training_rows(sales, as_of, horizon, keys, train_days, origin_every), "gbt_rows")
+    if rows.filter("NOT is_validation").isEmpty():
         raise ValueError("no (origin, target) pair in the training window")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", predictionCol="prediction",
                        validationIndicatorCol="is_validation", **{**GBT_PARAMS, **params})
@@ -69,7 +73,10 @@ def fit_gbt(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days:
 
 
 def gbt_forecast(model: PipelineModel, sales: DataFrame, horizon: int, keys=SERIES_KEYS) -> DataFrame:
-    """Every future day of every series from its newest row, floored at zero."""
+    """Every future day of every series from its newest row, floored at zero.
+
+    ``sales`` must be the whole history of a series, as in the fit: its features look back over all of it.
+    """
     newest = Window.partitionBy(*keys).orderBy(F.desc("origin"))
     last = origin_features(sales, keys).withColumn("rn", F.row_number().over(newest)).filter("rn = 1")
     days = _target_features(last.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizon)))))

@@ -18,6 +18,8 @@ DRIVERS = ["is_promotion", "rolling_mean_28", "competitor_price_delta", "weather
 def nearest_match(left: DataFrame, right: DataFrame, by: str, score: str, right_id: str, buckets: int = 1000) -> DataFrame:
     """For each left row the right row of the same ``by`` group with the nearest score (ties: the lower).
 
+    A left row whose group has no right row is returned with nulls.
+
     No pairs are formed. Both sides are reduced to distinct scores (many equal scores become one row),
     cut into quantile buckets, and matched by a running last/next value inside a bucket; a table with
     one row per bucket carries the nearest score across empty or boundary buckets. Exact for any
@@ -51,7 +53,7 @@ def nearest_match(left: DataFrame, right: DataFrame, by: str, score: str, right_
         .filter(F.col("_best").isNotNull())
         .select(by, score, F.col("_best._id").alias(f"matched_{right_id}"), F.col(f"_best.{score}").alias("matched_score"))
     )
-    return left.join(table, [by, score])
+    return left.join(table, [by, score], "left")
 
 
 def propensity(matrix: DataFrame, treated: DataFrame, columns=MATRIX_COLUMNS) -> DataFrame:
@@ -61,11 +63,11 @@ def propensity(matrix: DataFrame, treated: DataFrame, columns=MATRIX_COLUMNS) ->
     scaled, _ = standardize(rows, columns)
     model = LogisticRegression(featuresCol="scaled", labelCol="treated", regParam=0.01).fit(scaled)
     chance = vector_to_array("probability")[1]
-    return model.transform(scaled).select(*matrix.columns, "treated", F.round(chance, 6).alias("propensity"))
+    return model.transform(scaled).select(*matrix.columns, "treated", chance.alias("propensity"))
 
 
 def match_controls(clustered: DataFrame, treated: DataFrame, columns=MATRIX_COLUMNS) -> DataFrame:
-    """One control per treated SKU: same cluster, nearest propensity; a control may serve several."""
+    """One control per treated SKU: same cluster, nearest propensity; a control may serve several, null if there is none."""
     scored = stage(propensity(clustered.drop("features"), treated, columns), "propensity")
     promoted = scored.filter("treated = 1").select("sku_id", "cluster", "propensity")
     control = scored.filter("treated = 0").select(F.col("sku_id").alias("control_id"), "cluster", "propensity")
@@ -75,9 +77,9 @@ def match_controls(clustered: DataFrame, treated: DataFrame, columns=MATRIX_COLU
 
 
 def attribute_spikes(features: DataFrame, spikes: DataFrame, on) -> DataFrame:
-    """Contribution of promotion, season, competitor and weather to each spike, in units.
+    """Contribution of promotion, recent level, competitor and weather to each spike, in units.
 
-    Coefficient times distance from the mean: exact Shapley values of a linear model with independent inputs.
+    All spikes are returned; the effects are null where the features of the day are not complete. Coefficient times distance from the mean: exact Shapley values of a linear model with independent inputs.
     """
     typed = {c: F.col(c).cast("double") for c in DRIVERS} | {"label": F.col("sales_qty").cast("double")}
     kept = features.select(*on, "sales_qty", *DRIVERS).na.drop(subset=["rolling_mean_28"])
@@ -86,7 +88,7 @@ def attribute_spikes(features: DataFrame, spikes: DataFrame, on) -> DataFrame:
     model = LinearRegression(featuresCol="x", labelCol="label", regParam=1e-6).fit(vectors)
     weights = [float(w) for w in model.coefficients]
     means = rows.agg(*[F.avg(c).alias(f"_m_{c}") for c in DRIVERS], F.avg("label").alias("average_sales"))
-    names = dict(zip(DRIVERS, ["promotion", "season", "competitor", "weather"]))
-    return attach_row(rows.join(spikes.select(*on), on), means).select(
+    names = dict(zip(DRIVERS, ["promotion", "level", "competitor", "weather"]))
+    return attach_row(spikes.select(*on, "sales_qty").join(rows.drop("sales_qty"), on, "left"), means).select(
         *on, "sales_qty", "average_sales",
         *[(F.lit(w) * (F.col(c) - F.col(f"_m_{c}"))).alias(f"{names[c]}_effect") for c, w in zip(DRIVERS, weights)])

@@ -55,12 +55,6 @@ def row_index(keys=SERIES_KEYS) -> Column:
     return F.row_number().over(series_window(keys)) - 1
 
 
-def last_rows(df: DataFrame, n: int, keys=SERIES_KEYS) -> DataFrame:
-    """The last ``n`` rows of every series."""
-    newest = Window.partitionBy(*keys).orderBy(F.col("date").desc())
-    return df.withColumn("_rn", F.row_number().over(newest)).filter(F.col("_rn") <= n).drop("_rn")
-
-
 def densify(sales: DataFrame, keys=SERIES_KEYS) -> DataFrame:
     """Every calendar day between the first and last row of each series; missing days sell 0.
 

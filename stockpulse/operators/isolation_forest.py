@@ -41,10 +41,8 @@ def tree_sample(df: DataFrame, keys, columns, n_trees: int = N_TREES, subsample:
     total = df.count()
     pool_size = n_trees * subsample
     order = F.xxhash64(*keys, F.lit(seed))
-    thin = df
-    if total > 4 * pool_size:
-        cut = int((1 << 40) * 4 * pool_size / total)
-        thin = df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed + 1)), F.lit(1 << 40)) < cut)
+    cut = int((1 << 40) * min(1.0, 4 * pool_size / max(total, 1)))
+    thin = df.filter(F.pmod(F.xxhash64(*keys, F.lit(seed + 1)), F.lit(1 << 40)) < cut)
     pool = stage(thin.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns]).orderBy(order, *keys).limit(pool_size),
                  "forest_pool")
     size = pool.count()

@@ -73,11 +73,11 @@ def inventory_turnover(sales: DataFrame, inventory: DataFrame, products: DataFra
 
 
 def demand_coverage(sales: DataFrame, inventory: DataFrame, as_of, days: int = 30) -> DataFrame:
-    """Share of sales rows covered by the stock of that day, per region."""
+    """Share of sales rows covered by the stock of that day, per region; a row without a stock row is not covered."""
     recent = fx.trailing(sales, as_of, days - 1)
     stocked = inventory_by_region(fx.trailing(inventory, as_of, days - 1, "snapshot_date"))
     covered = F.when(F.col("quantity_on_hand") >= F.col("sales_qty"), 1.0).otherwise(0.0)
-    return recent.join(stocked.select(*FACT_KEYS, "quantity_on_hand"), FACT_KEYS).groupBy("region").agg(
+    return recent.join(stocked.select(*FACT_KEYS, "quantity_on_hand"), FACT_KEYS, "left").groupBy("region").agg(
         F.count(F.lit(1)).alias("demand_events"), (F.avg(covered) * 100).alias("demand_coverage_pct"))
 
 

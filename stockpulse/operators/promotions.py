@@ -84,13 +84,13 @@ def did_lift(sales: DataFrame, sku_ids, start, end, promo_type: str = "discount"
              regions=None, controls: DataFrame | None = None) -> DataFrame:
     """Difference in differences of average daily sales, as one row.
 
-    Treated rows are the named SKUs (in ``regions`` when given). Controls are all other SKUs, or only
-    the ``sku_id`` rows of ``controls``. ``price_elasticity`` is null without a discount.
+    Treated rows are the named SKUs. Controls are all other SKUs, or only the ``sku_id`` rows of
+    ``controls``. With ``regions`` both are looked at in these regions only: a promoted SKU elsewhere is
+    neither. ``price_elasticity`` is null without a discount.
     """
-    treated = F.col("sku_id").isin(*sku_ids)
+    rows = _windowed(sales, start, end).withColumn("treated", F.col("sku_id").isin(*sku_ids))
     if regions:
-        treated = treated & F.col("region").isin(*regions)
-    rows = _windowed(sales, start, end).withColumn("treated", treated)
+        rows = rows.filter(F.col("region").isin(*regions))
     if controls is not None:
         allowed = controls.select("sku_id").distinct().withColumn("_control", F.lit(True))
         rows = rows.join(allowed, "sku_id", "left").filter(F.col("treated") | F.col("_control"))

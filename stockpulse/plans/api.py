@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
+from ..functions.scalar import optional_equals
 from ..operators import (anomaly, boosting, causal, clustering, forecasting, kpis, monitoring, promotions, restock)
 from ..operators.features import build_features, two_sigma_flags
 from ..schemas import SERIES_KEYS
@@ -28,11 +29,17 @@ def _require(ok: bool, message: str) -> None:
         raise ValueError(message)
 
 
-def forecast_members(sales: DataFrame, as_of, horizon: int, model: PipelineModel | None = None, **gbt_params) -> DataFrame:
-    """Seasonal, boosted and lookback columns; a series too short for the lookback uses the boosted value."""
+def forecast_members(sales: DataFrame, as_of, horizon: int, model: PipelineModel | None = None, full: DataFrame | None = None,
+                     **gbt_params) -> DataFrame:
+    """Seasonal, boosted and lookback columns; a series too short for the lookback uses the boosted value.
+
+    ``full`` is the whole history where ``sales`` is a part of it: the boosted model is fitted and served on
+    the same features of it.
+    """
     on = [*SERIES_KEYS, "date"]
-    model = model or boosting.fit_gbt(sales, as_of, horizon, **gbt_params)
-    boosted = boosting.gbt_forecast(model, sales, horizon)
+    full = sales if full is None else full
+    model = model or boosting.fit_gbt(full, as_of, horizon, **gbt_params)
+    boosted = boosting.gbt_forecast(model, full, horizon)
     members = (forecasting.seasonal_forecast(forecasting.seasonal_params(sales), horizon)
                .join(boosted, on, "left")
                .join(forecasting.lookback_forecast(forecasting.lookback_params(sales), horizon), on, "left"))
@@ -55,7 +62,8 @@ def forecast(tables: RetailTables, sku_id: str | None = None, region: str | None
     else:
         if boosted_model is None:
             boosted_model = boosting.fit_gbt(tables.sales, tables.as_of, horizon_days, **gbt_params)
-        rows = forecast_members(history, tables.as_of, horizon_days, boosted_model)
+        asked = optional_equals(tables.sales, sku_id=sku_id, region=region)
+        rows = forecast_members(history, tables.as_of, horizon_days, boosted_model, full=asked)
     return forecasting.ensemble(rows, weights, member, include_ci).withColumn("model_used", F.lit(model))
 
 
@@ -123,17 +131,18 @@ def promo_impact(tables: RetailTables, sku_ids: list[str], start: str, end: str,
     _require(promo_type in PROMO_TYPES, f"promotion_type must be one of {PROMO_TYPES}")
     spark = tables.spark
     controls = None
-    if matched:
+    if matched:  # treated SKUs without a control add none
         treated = spark.createDataFrame([(s,) for s in sku_ids], "sku_id string")
         pairs = causal.match_controls(clustering.cluster_skus(feature_matrix(tables, **matrix)), treated)
-        controls = pairs.select(F.col("control_sku_id").alias("sku_id"))
+        controls = pairs.filter("control_sku_id IS NOT NULL").select(F.col("control_sku_id").alias("sku_id"))
     campaign = spark.createDataFrame(
         [("request", promo_type, promo_type, None, fx.as_day(start), fx.as_day(end), sku_ids, regions)],
         "promo_id string, name string, promo_type string, discount_pct double, start_date date, end_date date, "
         "applicable_skus array<string>, applicable_regions array<string>")
     spikes = two_sigma_flags(tables.sales).filter(F.col("outside") & F.col("sku_id").isin(*sku_ids)
                                                   & F.col("date").between(F.lit(fx.as_day(start)), F.lit(fx.as_day(end))))
-    full = build_features(tables.sales, tables.weather, tables.competitor, end)
+    reach = (fx.as_day(end) - fx.as_day(start)).days + 400
+    full = build_features(tables.sales, tables.weather, tables.competitor, end, lookback=reach)
     return {
         "lift": promotions.did_lift(tables.sales, sku_ids, start, end, promo_type, discount_pct, regions, controls),
         "decay": promotions.promo_decay(tables.sales, campaign, decay_days).drop("promo_id"),

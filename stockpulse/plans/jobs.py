@@ -26,10 +26,16 @@ def ingest_weather(kelvin: DataFrame, stored: DataFrame) -> DataFrame:
     return sinks.append_absent(scores, stored, ["region", "date"])
 
 
-def run_features(tables: RetailTables, run_date, path: str, lookback: int = 400, mode: str = "rows") -> int:
-    """Build and write the feature store; returns the number of rows written."""
+def run_features(tables: RetailTables, run_date, path: str, lookback: int = 400, mode: str = "rows", days: int = 7) -> int:
+    """Build the features of the last ``days`` days and write those days; returns the number of rows written.
+
+    ``lookback`` days are read, so that last year's value and the longest window are there for each day
+    that is written. Days that are stored already stay as they are, unless the run covers them.
+    """
+    if days > lookback - 365:
+        raise ValueError("lookback must reach a year beyond the days to write")
     rows = features.build_features(tables.sales, tables.weather, tables.competitor, run_date, lookback, mode)
-    return sinks.write_features(rows, path)
+    return sinks.write_features(fx.trailing(rows, run_date, days - 1), path)
 
 
 def daily_checks(tables: RetailTables) -> DataFrame:

@@ -6,6 +6,7 @@ compared with another engine that adds them up in another order.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +20,7 @@ from ..session import scratch_path, stage
 from ..sources import retail, sinks
 from ..streaming import aggregates, events
 from ..streaming.sinks import current_stock, drain, stock_log
-from . import api
+from . import api, jobs
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -259,12 +260,45 @@ def weather_append_absent(spark, root):
     return rounded(sinks.upsert_absent(fresh, target, ["region", "date"]))
 
 
+@register
+def inventory_two_days(spark, root):
+    """A backfill, the next day's load and its replay; every day is there once."""
+    t = retail.load(spark, root)
+    path = scratch_path(spark, "inventory_store")
+    sinks.sync_inventory(t.inventory.filter(F.col("snapshot_date") < F.lit(t.as_of)), path)
+    for _ in range(2):
+        jobs.ingest_inventory(t.inventory, t.as_of, path)
+    return spark.read.parquet(path).select("sku_id", "warehouse_id", "snapshot_date", "quantity_on_hand")
+
+
+@register
+def features_two_runs(spark, root):
+    """Two runs of the feature job five days apart; days of the first that the second does not cover stay."""
+    t = retail.load(spark, root)
+    path = scratch_path(spark, "feature_store")
+    for back in (5, 0):
+        jobs.run_features(t, t.as_of - dt.timedelta(days=back), path)
+    lags = [F.col(c).cast("long").alias(c) for c in ("lag_7", "lag_28")]
+    return spark.read.parquet(path).select("sku_id", "region", "date", "sales_qty", *lags, "is_promotion")
+
+
+@register
+def views_after_refresh(spark, root):
+    """A refresh after the older months have left the source."""
+    t = retail.load(spark, root)
+    path, daily = scratch_path(spark, "views"), _kpis(t)
+    sinks.refresh_views(daily, kpis.regional_daily_kpis, path)
+    sinks.refresh_views(daily.filter(F.col("date") > F.date_sub(F.lit(t.as_of), 200)), kpis.regional_daily_kpis, path)
+    return rounded(spark.read.parquet(f"{path}/regional_kpis").drop(fx.MONTH_PARTITION), 8)
+
+
 @register
 def weather_scores(spark, root):
-    """Temperatures to scores and cities, over every weather row."""
+    """Temperatures to scores and cities, over every weather row; the given regions stand for the mapped ones."""
     t = retail.load(spark, root)
     kelvin = F.col("score").cast("double") * 10 + 290
-    city = F.coalesce(fx.region_city("region"), F.lit("unknown"))
+    given = ("AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST")
+    city = fx.region_city(fx.lookup("region", dict(zip(given, fx.REGION_CITY))))
     return t.weather.select("region", "date", (fx.weather_score(kelvin) + 0.0).alias("score"), city.alias("city"))
 
 
@@ -536,7 +570,7 @@ def detect_anomalies(spark, root):
 @register
 def attribute_spikes(spark, root):
     t = retail.load(spark, root)
-    full = features.build_features(t.sales, t.weather, t.competitor, t.as_of)
+    full = features.build_features(t.sales, t.weather, t.competitor, t.as_of, lookback=3650)
     keys = ["sku_id", "region", "date"]
     return causal.attribute_spikes(full, features.two_sigma_flags(t.sales).filter("outside"), keys)
 

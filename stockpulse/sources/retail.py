@@ -209,12 +209,6 @@ class RetailTables:
                 for i, n, k, p, s, e, skus, regions in PROMOTION_ROWS]
         return self.spark.createDataFrame(rows, schemas.PROMOTIONS)
 
-    @cached_property
-    def warehouses(self) -> DataFrame:
-        return (self._region_keys.withColumn("w", F.explode(F.array(F.lit(0), F.lit(1))))
-                .select(F.concat(F.lit("WH-"), F.col("rk").cast("string"), F.lit("-"), F.col("w").cast("string"))
-                        .alias("warehouse_id"), "region"))
-
     @cached_property
     def model_versions(self) -> DataFrame:
         """One version per model and quarter of targets, with the errors measured in that quarter."""

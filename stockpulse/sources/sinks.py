@@ -1,4 +1,4 @@
-"""Writers: monthly partitions, insert-if-absent, update-from, view refresh, load counts."""
+"""Writers: daily and monthly partitions, insert-if-absent, update-from, view refresh, load counts."""
 
 from __future__ import annotations
 
@@ -15,15 +15,27 @@ def overwrite_months(df: DataFrame, path: str, date_column: str = "date") -> Non
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(fx.MONTH_PARTITION).parquet(path))
 
 
+def overwrite_days(df: DataFrame, path: str, date_column: str = "date") -> None:
+    """Replace only the days present in ``df``; other days of their months stay, a replay changes nothing."""
+    (df.hint("rebalance", date_column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(date_column).parquet(path))
+
+
+def replace_table(df: DataFrame, path: str, date_column: str = "date") -> None:
+    """Replace the whole table; months that ``df`` has no rows for go."""
+    (df.withColumn(fx.MONTH_PARTITION, fx.month_key(date_column)).hint("rebalance", fx.MONTH_PARTITION)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(fx.MONTH_PARTITION).parquet(path))
+
+
 def as_declared(df: DataFrame, table: str) -> DataFrame:
     """Columns in declared order and type."""
     return df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.TABLES[table] if f.name in df.columns])
 
 
 def write_features(features: DataFrame, path: str) -> int:
-    """Write the feature store by month and return the row count, observed while writing."""
+    """Write the feature store by day and return the row count, observed while writing."""
     counted, seen = with_row_count(as_declared(features, "feature_store"))
-    overwrite_months(counted, path)
+    overwrite_days(counted, path)
     return seen.get["rows"]
 
 
@@ -77,17 +89,17 @@ def realize_forecasts(forecasts: DataFrame, sales: DataFrame, as_of) -> DataFram
 
 
 def sync_inventory(raw: DataFrame, path: str) -> int:
-    """Daily snapshot load: one row per (sku, warehouse, date), replacing the months it covers."""
+    """Daily snapshot load: one row per (sku, warehouse, date), replacing the days it covers."""
     keys = ["sku_id", "warehouse_id", "snapshot_date"]
     order = ["loaded_at"] if "loaded_at" in raw.columns else []
     unique = dedupe_latest(raw, keys, order + [c for c in raw.columns if c not in keys + order])
     counted, seen = with_row_count(unique)
-    overwrite_months(counted, path, "snapshot_date")
+    overwrite_days(counted, path, "snapshot_date")
     return seen.get["rows"]
 
 
 def refresh_views(kpis: DataFrame, regional_of, path: str) -> None:
-    """Rebuild both KPI tables in order; the regional one reads the stored daily one."""
-    overwrite_months(kpis, f"{path}/sku_daily_kpis")
+    """Rebuild both KPI tables whole and in order; the regional one reads the stored daily one."""
+    replace_table(kpis, f"{path}/sku_daily_kpis")
     stored = kpis.sparkSession.read.parquet(f"{path}/sku_daily_kpis").drop(fx.MONTH_PARTITION)
-    overwrite_months(regional_of(stored), f"{path}/regional_kpis")
+    replace_table(regional_of(stored), f"{path}/regional_kpis")

@@ -79,7 +79,10 @@ def test_members_and_fallback(spark):
     sales, as_of = dense(spark)
     rows = api.forecast_members(sales, as_of, 7, maxIter=5, maxDepth=3).collect()
     assert len(rows) == 2 * 7 and all(r.boosted >= 0 for r in rows)
-    assert all((r.lookback == r.boosted) == (r.sku_id == "B") for r in rows)
+    assert all(r.lookback == r.boosted for r in rows if r.sku_id == "B")
+    own = {r.date: r.lookback for r in rows if r.sku_id == "A"}  # A has its own, whatever the boosted model says
+    alone = api.forecasting.lookback_forecast(api.forecasting.lookback_params(sales.filter("sku_id = 'A'")), 7)
+    assert own == {r.date: r.lookback for r in alone.collect()}
 
 
 def test_no_training_rows(spark):

@@ -83,13 +83,6 @@ def test_drop_and_band(spark):
     assert [r.sales_qty for r in flags] == [50]
 
 
-def test_last_rows(spark):
-    sales = sales_rows(spark, range(50)).unionByName(sales_rows(spark, range(5), "B"))
-    got = features.last_rows(sales, 30)
-    assert got.filter("sku_id = 'A'").count() == 30 and got.filter("sku_id = 'B'").count() == 5
-    assert got.filter("sku_id = 'A'").agg(F.min("sales_qty")).first()[0] == 20
-
-
 def test_absent_optional_columns(spark):
     bare = sales_rows(spark, range(10)).select("sku_id", "region", "date", "sales_qty")
     r = features.detector_features(bare).first()

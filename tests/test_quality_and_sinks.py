@@ -6,7 +6,7 @@ import pytest
 from conftest import day, sales_rows
 from pyspark.sql import functions as F
 
-from stockpulse.operators import features, quality
+from stockpulse.operators import features, kpis, quality
 from stockpulse.plans import jobs
 from stockpulse.sources import sinks, tables as readers
 
@@ -101,3 +101,32 @@ def test_history_of_one_series(spark):
     assert readers.load_sku_history(sales, day(399), "A", "R").count() == 366
     with pytest.raises(KeyError):
         readers.load_sku_history(sales, day(399), "missing", "R")
+
+
+def test_daily_loads_of_one_month_stay(spark, tmp_path):
+    path = str(tmp_path / "inv")
+    raw = spark.createDataFrame([("A", "W", day(0), 5), ("A", "W", day(1), 6), ("A", "W", day(1), 6), ("A", "W", day(2), 7)],
+                                "sku_id string, warehouse_id string, snapshot_date date, quantity_on_hand int")
+    for i in (0, 1, 0, 1):  # two days, then both again
+        assert jobs.ingest_inventory(raw, day(i), path) == {"records_synced": 1}
+    assert sorted((r.snapshot_date, r.quantity_on_hand) for r in spark.read.parquet(path).collect()) == [(day(0), 5), (day(1), 6)]
+
+
+def test_second_feature_run_keeps_older_days(spark, tables, tmp_path):
+    path = str(tmp_path / "store")
+    jobs.run_features(tables, tables.as_of - dt.timedelta(days=20), path)
+    before = {tuple(r) for r in spark.read.parquet(path).collect()}
+    jobs.run_features(tables, tables.as_of, path)
+    assert before <= {tuple(r) for r in spark.read.parquet(path).collect()}
+    with pytest.raises(ValueError):
+        jobs.run_features(tables, tables.as_of, path, lookback=100)
+
+
+def test_refresh_drops_months_that_left(spark, tables, tmp_path):
+    path = str(tmp_path / "v")
+    daily = kpis.sku_daily_kpis(tables.sales, tables.forecasts, tables.inventory)
+    sinks.refresh_views(daily, kpis.regional_daily_kpis, path)
+    recent = daily.filter(F.col("date") > F.date_sub(F.lit(tables.as_of), 40))
+    sinks.refresh_views(recent, kpis.regional_daily_kpis, path)
+    assert spark.read.parquet(f"{path}/sku_daily_kpis").count() == recent.count()
+    assert spark.read.parquet(f"{path}/regional_kpis").agg(F.min("date")).first()[0] > tables.as_of - dt.timedelta(days=40)
