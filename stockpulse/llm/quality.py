@@ -94,7 +94,7 @@ def measured(docs: DataFrame, id_col: str, text_col: str, host: Column, path: Co
 
 def site_columns(source_col: str = "source", lang_col: str | None = "lang") -> tuple[Column, Column]:
     """(host, path) of a source: of an address, its host and first folder; of a plain name, the name and the language section."""
-    bare = F.regexp_replace(F.lower(F.col(source_col).cast("string")), r"^[a-z]+://|^www\.", "")
+    bare = F.regexp_replace(F.lower(F.col(source_col).cast("string")), r"^(?:[a-z]+://)?(?:www\.)?", "")
     host = F.coalesce(F.regexp_extract(bare, r"^([^/?#]*)", 1), F.lit(""))
     section = F.col(lang_col).cast("string") if lang_col else F.lit(None).cast("string")
     folder = F.regexp_extract(bare, r"^[^/?#]*/([^/?#]*)", 1)

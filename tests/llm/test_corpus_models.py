@@ -64,11 +64,14 @@ def test_quality_of_edge_cases(spark):
     assert quality.score(spark.createDataFrame([], SCHEMA), labels).count() == 0
 
 
-def test_toxic_documents_are_found_and_clean_ones_left(given):
-    docs, _, learn, test = given
+def test_toxic_documents_are_found_and_clean_ones_left(spark):
+    """Labels of the larger table: a few of its toxic documents have lost their wording and cannot be told."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    fold = F.crc32(F.col("doc_id").cast("string")) % 4 == 0
+    learn, test = labels.filter(~fold), labels.filter(fold)
     got = toxicity.score(docs, learn).join(test.select("doc_id", F.col("toxic").alias("truth")), "doc_id").collect()
     bad, clean = [r for r in got if r.truth == 1], [r for r in got if r.truth == 0]
-    assert sum(r.toxic for r in bad) >= 0.7 * len(bad) and not any(r.toxic for r in clean)
+    assert sum(r.toxic for r in bad) >= 0.9 * len(bad) and not any(r.toxic for r in clean)
     assert all(0 <= r.severity <= 3 and r.grade in (0, 1, 2, 3) for r in got)
     assert np.mean([r.severity for r in bad]) > 1 > 0.2 > np.mean([r.severity for r in clean])
 
@@ -80,7 +83,7 @@ def test_ordinal_fit_recovers_order():
     grade = np.searchsorted([0.5, 2.0, 3.5], z)
     w, t = toxicity.fit([(list(range(3)), list(row)) for row in x], grade, 3)
     assert w == pytest.approx([1.5, 0.0, -1.0], abs=0.25) and t == pytest.approx([0.5, 2.0, 3.5], abs=0.3)
-    assert toxicity.grades_of(np.array([0.0, 1, 2, 3, 9, 9]), np.array([False, True, True, True, True, True])).tolist() == [0, 1, 1, 2, 2, 2]
+    assert toxicity.grades_of(np.array([0.0, 1, 2, 3, 9, 9]), np.array([False, True, True, True, True, True])).tolist() == [0, 1, 1, 2, 3, 3]
     assert list(np.diff(t) > 0) == [True, True]
 
 
