@@ -577,9 +577,12 @@ def attribute_spikes(spark, root):
 
 # ---- streams -------------------------------------------------------------------------------------
 
-def _sales_stream(spark, root) -> DataFrame:
-    clicks = events.read_clicks(spark, f"{root}/events*.parquet")
-    return events.deduplicated(events.sales_from_clicks(clicks, retail.region_names(spark, root)))
+def _sales_stream(spark, root):
+    """The purchases of the click stream, and what closes it once it is read."""
+    folder = scratch_path(spark, "closing")
+    clicks = events.with_closing(events.read_clicks(spark, f"{root}/events*.parquet"), folder)
+    stream = events.deduplicated(events.sales_from_clicks(clicks, retail.region_names(spark, root)))
+    return stream, lambda: events.close_clicks(spark.read.parquet(f"{root}/events.parquet").filter("event_type = 'purchase'"), folder)
 
 
 def _sales_batch(spark, root) -> DataFrame:
@@ -589,28 +592,36 @@ def _sales_batch(spark, root) -> DataFrame:
 @register
 def stream_daily_sales(spark, root):
     retail.load(spark, root)
-    return rounded(drain(aggregates.flat_days(aggregates.daily_sales(_sales_stream(spark, root))), "daily"), 4)
+    stream, close = _sales_stream(spark, root)
+    return rounded(drain(aggregates.flat_days(aggregates.daily_sales(stream)), "daily", close), 4)
 
 
 @register
 def stream_rolling_stats(spark, root):
     retail.load(spark, root)
-    return rounded(drain(aggregates.rolling_stats(aggregates.daily_sales(_sales_stream(spark, root))), "rolling"))
+    stream, close = _sales_stream(spark, root)
+    return rounded(drain(aggregates.rolling_stats(aggregates.daily_sales(stream)), "rolling", close))
 
 
 @register
 def stream_enriched_sales(spark, root):
     t = retail.load(spark, root)
-    days = aggregates.flat_days(aggregates.daily_sales(_sales_stream(spark, root)))
-    return rounded(drain(aggregates.enriched(days, t.products).drop("revenue", "events"), "enriched"), 4)
+    stream, close = _sales_stream(spark, root)
+    products = stage(t.products, "stream_products")  # read by every micro-batch, computed once
+    days = aggregates.flat_days(aggregates.daily_sales(stream))
+    return rounded(drain(aggregates.enriched(days, products).drop("revenue", "events"), "enriched", close), 4)
 
 
 @register
 def stream_alerts(spark, root):
+    """The last seven days of the stream against the days before them."""
     retail.load(spark, root)
-    history = aggregates.baseline(aggregates.flat_days(aggregates.daily_sales(_sales_batch(spark, root))))
-    days = aggregates.flat_days(aggregates.daily_sales(_sales_stream(spark, root)))
-    return rounded(drain(aggregates.alerts(days, history), "alerts"))
+    known = aggregates.flat_days(aggregates.daily_sales(_sales_batch(spark, root)))
+    start = F.lit(known.agg(F.date_sub(F.max("date"), 6)).first()[0])
+    history = stage(aggregates.baseline(known.filter(F.col("date") < start)), "alert_baseline")
+    stream, close = _sales_stream(spark, root)
+    days = aggregates.flat_days(aggregates.daily_sales(stream)).filter(F.col("date") >= start)
+    return rounded(drain(aggregates.alerts(days, history), "alerts", close))
 
 
 @register
@@ -624,7 +635,14 @@ def stream_forecast_monitoring(spark, root):
     topic = scratch_path(spark, "forecast_events")
     payload.select(fx.to_event_json(*payload.columns).alias("value")).write.text(topic)
     good, _ = events.parse_events(events.read_topic(spark, "forecast-events", {"format": "text", "path": topic}), "forecast-events")
-    return rounded(drain(aggregates.forecast_monitoring(good), "monitoring"))
+
+    def close():
+        end = payload.agg(F.max("ts").alias("ts")).select(
+            F.lit("").alias("sku_id"), F.lit("").alias("region"), F.lit("closing").alias("model"), F.lit(0).alias("horizon_days"),
+            F.lit(0.0).alias("mape"), F.expr("ts + INTERVAL '30' DAY").alias("ts"))
+        end.select(fx.to_event_json(*payload.columns).alias("value")).write.mode("append").text(topic)
+
+    return rounded(drain(aggregates.forecast_monitoring(good), "monitoring", close))
 
 
 @register

@@ -54,6 +54,24 @@ def read_clicks(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(CLICK_SCHEMA).parquet(path)
 
 
+def with_closing(clicks: DataFrame, folder: str) -> DataFrame:
+    """The click stream and whatever is put into ``folder``: a place for the event that closes its windows."""
+    spark = clicks.sparkSession
+    spark.createDataFrame([], CLICK_SCHEMA).write.mode("append").parquet(folder)
+    return clicks.unionByName(spark.readStream.schema(CLICK_SCHEMA).parquet(folder))
+
+
+def close_clicks(clicks: DataFrame, folder: str, days: int = 30) -> None:
+    """Put one purchase ``days`` after the last of ``clicks`` (a batch) into ``folder``.
+
+    Event time then passes the end of every window of the data; the window of this event stays open.
+    """
+    last = clicks.agg(F.max("ts").alias("last"))
+    row = last.select(F.lit(-1).cast("long").alias("event_id"), F.expr(f"last + INTERVAL '{days}' DAY").cast("timestamp_ntz").alias("ts"),
+                      F.lit(0).cast("long").alias("user_id"), F.lit("purchase").alias("event_type"), F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props"))
+    row.write.mode("append").parquet(folder)
+
+
 def deduplicated(events: DataFrame, keys=("event_id",), delay: str = LATENESS) -> DataFrame:
     """Replayed events removed; state is dropped once the watermark has passed an event."""
     return events.withWatermark("ts", delay).dropDuplicatesWithinWatermark(list(keys))

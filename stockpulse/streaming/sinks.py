@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -16,10 +18,17 @@ def append_table(stream: DataFrame, path: str, checkpoint: str, **trigger) -> St
             .outputMode("append").trigger(**(trigger or {"availableNow": True})).start())
 
 
-def drain(stream: DataFrame, label: str) -> DataFrame:
-    """Run a stream over everything available and return what it appended."""
+def drain(stream: DataFrame, label: str, close: Callable[[], None] | None = None) -> DataFrame:
+    """Run a stream over everything available and return what it appended.
+
+    ``close`` adds the event that ends the input; the stream goes on from its checkpoint and emits the
+    windows that were still open.
+    """
     base = scratch_path(stream.sparkSession, label)
     append_table(stream, f"{base}/data", f"{base}/checkpoint").awaitTermination()
+    if close:
+        close()
+        append_table(stream, f"{base}/data", f"{base}/checkpoint").awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).parquet(f"{base}/data")
 
 

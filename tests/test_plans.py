@@ -6,9 +6,9 @@ import pytest
 from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
-import __spark_entry__ as contract
 from stockpulse.functions import scalar as fx
 from stockpulse.operators import features, forecasting, monitoring, promotions
+from stockpulse.plans.queries import REGISTRY
 from stockpulse.sources import retail
 
 #: Queries that run jobs while they are built, so that building them again only for the plan is slow.
@@ -28,9 +28,9 @@ def exchanges(plan: str) -> int:
     return len(re.findall(r"Exchange hashpartitioning", plan))
 
 
-@pytest.mark.parametrize("name", sorted(n for n in contract.queries() if n not in EAGER and not n.startswith("stream")))
+@pytest.mark.parametrize("name", sorted(n for n in REGISTRY if n not in EAGER and not n.startswith("stream")))
 def test_no_pairs_no_python_no_global_window(unbroadcast, name):
-    plan = plan_of(contract.queries()[name](unbroadcast, SF))
+    plan = plan_of(REGISTRY[name](unbroadcast, SF))
     assert "Cartesian" not in plan and "NestedLoop" not in plan, "all joins are equi-joins"
     assert "Python" not in plan and "Pandas" not in plan, "rows stay in the JVM"
     assert "BroadcastHashJoin" not in plan, "no join depends on a forced broadcast"
