@@ -223,7 +223,8 @@ def backtest(sales: DataFrame, as_of, folds: int = 3, horizon: int = 28, model:
     age = F.datediff(F.lit(as_of).cast("date"), "date")
     test_fold = F.floor(age / horizon).cast("int") + 1
     if model == "naive":
-        scored = sales.withColumn("predicted", days_ago("sales_qty", YEAR_OF_WEEKS)).withColumn("fold", test_fold)
+        recent = fx.trailing(sales, as_of, folds * horizon + YEAR_OF_WEEKS)
+        scored = recent.withColumn("predicted", days_ago("sales_qty", YEAR_OF_WEEKS)).withColumn("fold", test_fold)
         return forecast_errors(scored.filter(F.col("fold") <= folds).withColumnRenamed("sales_qty", "actual"), ["fold"])
     keys = ["fold", *SERIES_KEYS]
     train = fold_rows(sales, as_of, folds, horizon)
@@ -248,6 +249,6 @@ def holdout_members(sales: DataFrame, as_of, horizon: int = 28, keys=SERIES_KEYS
     on = [*keys, "date"]
     seasonal = seasonal_forecast(seasonal_params(train, keys).withColumn("last_date", cutoff), horizon, keys)
     lookback = lookback_forecast(lookback_params(train, keys).withColumn("last_date", cutoff), horizon, keys)
-    naive = sales.withColumn("naive", days_ago("sales_qty", YEAR_OF_WEEKS, keys).cast("double"))
+    naive = fx.trailing(sales, as_of, horizon + YEAR_OF_WEEKS).withColumn("naive", days_ago("sales_qty", YEAR_OF_WEEKS, keys).cast("double"))
     actual = naive.filter(F.col("date") > cutoff).select(*on, F.col("sales_qty").alias("actual"), "naive")
     return actual.join(seasonal, on, "left").join(lookback, on, "left")

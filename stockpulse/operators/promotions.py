@@ -35,7 +35,13 @@ def expand_promotions(sales: DataFrame, promos: DataFrame, days_before: int = 0,
         "region", F.explode(F.array_distinct("applicable_regions")))
     general = no_sku.filter(F.col("applicable_regions").isNull())
     in_region = F.col("applicable_regions").isNull() | F.array_contains("applicable_regions", F.col("region"))
-    fact = sales.select(*FACT_KEYS, "sales_qty", "revenue_inr")
+    # a subquery over the few campaigns bounds the fact, so that the scans open only the months they cover
+    span = days.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    first, last = (span.select(c).scalar() for c in ("first", "last"))
+    fact = sales.filter(F.col("date").between(first, last))
+    if fx.MONTH_PARTITION in sales.columns:
+        fact = fact.filter(F.col(fx.MONTH_PARTITION).between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM")))
+    fact = fact.select(*FACT_KEYS, "sales_qty", "revenue_inr")
     parts = [
         fact.join(by_sku, ["date", "sku_id"]).filter(in_region),
         fact.join(by_region, ["date", "region"]),

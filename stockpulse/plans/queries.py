@@ -124,8 +124,12 @@ def inventory_drop(spark, root):
 
 # ---- indicators ----------------------------------------------------------------------------------
 
-def _kpis(t) -> DataFrame:
-    return kpis.sku_daily_kpis(t.sales, t.forecasts, t.inventory)
+def _kpis(t, days: int | None = None) -> DataFrame:
+    """Daily KPIs; with ``days`` of the trailing days only, so that older months are never opened."""
+    if days is None:
+        return kpis.sku_daily_kpis(t.sales, t.forecasts, t.inventory)
+    return kpis.sku_daily_kpis(fx.trailing(t.sales, t.as_of, days), fx.trailing(t.forecasts, t.as_of, days, "target_date"),
+                               fx.trailing(t.inventory, t.as_of, days, "snapshot_date"))
 
 
 @register
@@ -174,7 +178,7 @@ def overstock_saving(spark, root):
 @register
 def stockout_reduction(spark, root):
     t = retail.load(spark, root)
-    return rounded(kpis.stockout_reduction(_kpis(t), t.as_of))
+    return rounded(kpis.stockout_reduction(_kpis(t, 60), t.as_of))
 
 
 @register
@@ -190,7 +194,7 @@ def monthly_accuracy(spark, root):
 @register
 def regional_flags(spark, root):
     t = retail.load(spark, root)
-    period = kpis.regional_kpis(kpis.regional_daily_kpis(_kpis(t)), F.date_sub(F.lit(t.as_of), 365), t.as_of)
+    period = kpis.regional_kpis(kpis.regional_daily_kpis(_kpis(t, 365)), F.date_sub(F.lit(t.as_of), 365), t.as_of)
     return rounded(kpis.regional_flags(period))
 
 
@@ -210,7 +214,7 @@ def psi_drift(spark, root):
 @register
 def realized_mape(spark, root):
     t = retail.load(spark, root)
-    filled = sinks.realize_forecasts(t.forecasts, t.sales, t.as_of)
+    filled = sinks.realize_forecasts(fx.trailing(t.forecasts, t.as_of, 1, "target_date"), fx.trailing(t.sales, t.as_of, 1), t.as_of)
     return rounded(monitoring.realized_mape(filled, F.date_sub(F.lit(t.as_of), 1)))
 
 

@@ -73,3 +73,13 @@ def test_fact_writer_splits_big_months(spark):
 def test_campaign_join_has_no_range_condition(unbroadcast, tables):
     plan = plan_of(promotions.expand_promotions(tables.sales, tables.promotions))
     assert plan.count("SortMergeJoin") == 3 and not re.search(r"SortMergeJoin.*<=", plan)
+
+
+def test_campaigns_and_trailing_queries_open_only_their_months(tables):
+    plan = plan_of(promotions.expand_promotions(tables.sales, tables.promotions))
+    scans = [x for x in plan.splitlines() if "FileScan parquet" in x and "revenue_inr" in x]
+    assert len(scans) == 3 and all(re.search(r"PartitionFilters: \[[^\]]*part_month", x) for x in scans)
+    for name in ("stockout_reduction", "regional_flags", "realized_mape", "backtest_naive"):
+        plan = plan_of(REGISTRY[name](tables.spark, SF))
+        facts = [x for x in plan.splitlines() if "FileScan parquet" in x and "part_month#" in x and "date:date" in x]
+        assert facts and all(re.search(r"PartitionFilters: \[[^\]]*part_month", x) for x in facts), name
