@@ -19,8 +19,8 @@ from pyspark.sql.window import Window
 from ..session import stage
 from .common import keep_rows, readable_again, with_row_key, without_spaces
 
-#: Bits of the hash that the directory may use.
-MAX_DEPTH = 12
+#: Entries of a bucket, which one task writes, and the bits of the hash that the directory may use.
+CAPACITY, MAX_DEPTH = 100_000, 14
 
 
 def directory(entries: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> DataFrame:
@@ -55,7 +55,7 @@ def build_index(hashed: DataFrame, capacity: int) -> DataFrame:
     return stage(owned.repartition("depth", "bucket").sortWithinPartitions("depth", "bucket", "key"), "hash-index")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = 1_000_000,
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
                  hash_bits: int = 64) -> DataFrame:
     """One row per row of ``docs``: row key, doc_id, keep_id, group_size, kept, text_sha256.
 

@@ -47,9 +47,9 @@ def test_directory_splits_only_full_buckets(spark):
     sizes = Counter()
     of = {r.slot: (r.depth, r.bucket) for r in slots}
     for r in keys.collect():
-        sizes[of[(r.key % (1 << 64)) >> 52]] += 1
+        sizes[of[(r.key % (1 << 64)) >> (64 - exact_dedup.MAX_DEPTH)]] += 1
     assert max(sizes.values()) <= 10
-    assert all(bucket == slot >> (12 - depth) for slot, (depth, bucket) in of.items())
+    assert all(bucket == slot >> (exact_dedup.MAX_DEPTH - depth) for slot, (depth, bucket) in of.items())
     assert len({d for d, _ in of.values()}) > 1
 
 
