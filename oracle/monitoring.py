@@ -133,4 +133,8 @@ c AS (SELECT category, CAST(coalesce(sum(q) FILTER (WHERE tr),0) AS BIGINT) AS g
 SELECT category, g AS promoted_gain, o AS others_change, CASE WHEN g>0 THEN round(greatest(0,-o)/CAST(g AS DOUBLE),6) END AS cannibalization_rate FROM c WHERE n>0""",
     "fuzzy_product_search": _similarity("blu widgets") + " WHERE similarity>0 ORDER BY similarity DESC, product_name, sku_id LIMIT 50",
     "product_similarity": _similarity("smal rings"),
+    "similar_product_names": f"""
+WITH n AS MATERIALIZED (SELECT product_name, min(sku_id) AS sku_id, any_value({_TRI.format("product_name")}) AS g FROM part_products GROUP BY 1),
+p AS (SELECT a.sku_id AS sku_a, b.sku_id AS sku_b, len(list_intersect(a.g,b.g)) AS s, len(a.g)+len(b.g) AS t FROM n a JOIN n b ON a.sku_id<b.sku_id)
+SELECT sku_a, sku_b, round(s/CAST(t-s AS DOUBLE),6) AS similarity FROM p WHERE s > 0 AND s/CAST(t-s AS DOUBLE) >= 0.6-1e-9""",
 }

@@ -60,12 +60,17 @@ def score_events(rows: DataFrame, as_of, days_back: int = 30, min_score: float =
 def detect_anomalies(sales: DataFrame, weather: DataFrame, competitor: DataFrame, inventory: DataFrame, as_of, *,
                      days_back: int = 30, region: str | None = None, sku_id: str | None = None, min_score: float = THRESHOLD,
                      scope: str = "series", model: forest.Forest | None = None, n_trees: int = forest.N_TREES) -> DataFrame:
-    """Scored events above ``min_score``. The forest is fitted on the loaded history unless given.
+    """Scored events above ``min_score``. The forest is fitted on all series of the history unless given.
 
-    The feature rows are written once: fitting and scoring both read them.
+    The feature rows are written once: fitting and scoring both read them. ``region`` and ``sku_id`` choose
+    what is returned; neither the forest nor a score depends on them.
     """
-    rows = stage(detection_rows(sales, weather, competitor, inventory, as_of, days_back, region, sku_id), "detector")
+    asked = {"region": region, "sku_id": sku_id} if model is not None and scope == "series" else {}  # else all rows are needed
+    rows = stage(detection_rows(sales, weather, competitor, inventory, as_of, days_back, **asked), "detector")
     if model is None:
         model = forest.fit_forest(rows, FACT_KEYS, DETECTOR_FEATURES, n_trees)
-    scored = forest.score_forest(fx.trailing(rows, as_of, days_back), model)
-    return score_events(scored, as_of, days_back, min_score, scope)
+    scored = fx.trailing(rows, as_of, days_back)
+    if scope == "series":
+        scored = fx.optional_equals(scored, region=region, sku_id=sku_id)
+    events = score_events(forest.score_forest(scored, model), as_of, days_back, min_score, scope)
+    return fx.optional_equals(events, region=region, sku_id=sku_id)

@@ -421,6 +421,12 @@ def fuzzy_product_search(spark, root):
     return rounded(search.fuzzy_product_search(t.products, "blu widgets", 50))
 
 
+@register
+def similar_product_names(spark, root):
+    t = retail.load(spark, root, grain="part")
+    return rounded(search.similar_names(t.products))
+
+
 @register
 def product_similarity(spark, root):
     """Similarity of every product name to the query, unranked."""

@@ -75,3 +75,25 @@ def test_fuzzy_search(spark):
     assert top.similarity == 1.0
     assert search.fuzzy_product_search(names, "ab", 5).first().sku_id == "5"
     assert search.fuzzy_product_search(names, "", 5).count() == 0
+
+
+def test_similar_names_against_all_pairs(spark):
+    import itertools
+    import random
+
+    from stockpulse.operators import search
+
+    rng = random.Random(4)
+    stock = ["".join(rng.choice("abcde") for _ in range(5)) for _ in range(12)]
+    rows = [(f"S{i:03d}", " ".join(rng.sample(stock, rng.randint(1, 4)))) for i in range(120)] + [("S900", None), ("S901", "??")]
+
+    def grams(text):
+        return {w[i:i + 3] for w in (f"  {x} " for x in text.split()) for i in range(len(w) - 2)}
+
+    first = {}
+    for sku, name in rows[:120]:
+        first.setdefault(name, sku)
+    for t in (0.4, 0.6, 0.9):
+        want = {(a, b): len(grams(x) & grams(y)) / len(grams(x) | grams(y)) for (x, a), (y, b) in itertools.combinations(sorted(first.items(), key=lambda r: r[1]), 2)}
+        got = {(r.sku_a, r.sku_b): r.similarity for r in search.similar_names(spark.createDataFrame(rows, "sku_id string, product_name string"), t).collect()}
+        assert got == pytest.approx({k: v for k, v in want.items() if v >= t - 1e-9})
