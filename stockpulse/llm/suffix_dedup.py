@@ -126,8 +126,12 @@ def _larger(run, rows: int):
 
 
 def _repeated(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The rows whose key occurs more than once."""
-    return rows.join(rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), keys, "left_semi")
+    """The rows whose key occurs more than once.
+
+    The repeated keys are written first: a join of two plain shuffles is one whose hot partitions Spark can split.
+    """
+    often = stage(rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1").select(*keys), "repeated-keys")
+    return rows.join(often, keys, "left_semi")
 
 
 def _nodes(batches):
@@ -214,11 +218,11 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     full = stage(full, "anchors-128")
 
     kinds = full.groupBy("whole").agg(F.count("*").alias("n"), F.min(F.struct("_row", "first")).alias("head"))
-    sorted_out = full.join(kinds.filter("n > 1"), "whole", "left")
+    sorted_out = full.join(stage(kinds.filter("n > 1"), "repeated-wholes"), "whole", "left")
     sorted_out = stage(sorted_out.select("_row", "at", "first", "last", "rank", F.col("n").isNull().alias("open"),
                                          F.col("head").eqNullSafe(F.struct("_row", "first")).alias("head")), "anchors-sorted")
     still = sorted_out.filter("open")
-    partners = sorted_out.filter("head AND NOT open").join(still.select("rank").distinct(), "rank", "left_semi")
+    partners = sorted_out.filter("head AND NOT open").join(stage(still.select("rank").distinct(), "open-ranks"), "rank", "left_semi")
     active = still.unionByName(partners.select(*still.columns)).withColumn("weight", F.when(F.col("open"), 1).otherwise(2).cast("long"))
 
     def with_text(points: DataFrame, columns: list[str]) -> DataFrame:
@@ -229,13 +233,15 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
         _larger(_nodes, 20_000), "_row long, at long, node int, first long, last long, weight long, open boolean, core long")
     nodes = stage(nodes, "nodes")
     cores = nodes.groupBy("node", "core").agg(F.sum("weight").alias("n"), F.max("open").alias("asked")).filter("n > 1 AND asked")
-    alive = stage(nodes.join(cores.select("node", "core"), ["node", "core"], "left_semi"), "open-nodes")
+    cores = stage(cores.select("node", "core"), "repeated-cores")
+    alive = stage(nodes.join(cores, ["node", "core"], "left_semi"), "open-nodes")
 
     windows = with_text(alive, columns).select("_row", "text", "points").mapInArrow(
         _larger(_windows, 50_000), "_row long, start long, weight long, open boolean, name1 long, name2 long")
     windows = stage(windows, "windows")
     names = windows.groupBy("name1", "name2").agg(F.sum("weight").alias("n"), F.max("open").alias("asked")).filter("n > 1 AND asked")
-    late = windows.filter("open").join(names.select("name1", "name2"), ["name1", "name2"], "left_semi")
+    names = stage(names.select("name1", "name2"), "repeated-names")
+    late = windows.filter("open").join(names, ["name1", "name2"], "left_semi")
     return stage(sorted_out.filter("NOT open").select("_row", "first", "last").unionByName(
         late.select("_row", F.col("start").alias("first"), F.col("start").alias("last"))), "repeated-ranges")
 
