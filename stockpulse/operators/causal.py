@@ -18,7 +18,7 @@ DRIVERS = ["is_promotion", "rolling_mean_28", "competitor_price_delta", "weather
 def nearest_match(left: DataFrame, right: DataFrame, by: str, score: str, right_id: str, buckets: int = 1000) -> DataFrame:
     """For each left row the right row of the same ``by`` group with the nearest score (ties: the lower).
 
-    A left row whose group has no right row is returned with nulls.
+    A left row whose group has no right row is left out.
 
     No pairs are formed. Both sides are reduced to distinct scores (many equal scores become one row),
     cut into quantile buckets, and matched by a running last/next value inside a bucket; a table with
@@ -53,7 +53,7 @@ def nearest_match(left: DataFrame, right: DataFrame, by: str, score: str, right_
         .filter(F.col("_best").isNotNull())
         .select(by, score, F.col("_best._id").alias(f"matched_{right_id}"), F.col(f"_best.{score}").alias("matched_score"))
     )
-    return left.join(table, [by, score], "left")
+    return left.join(table, [by, score])
 
 
 def propensity(matrix: DataFrame, treated: DataFrame, columns=MATRIX_COLUMNS) -> DataFrame:
@@ -72,8 +72,8 @@ def match_controls(clustered: DataFrame, treated: DataFrame, columns=MATRIX_COLU
     promoted = scored.filter("treated = 1").select("sku_id", "cluster", "propensity")
     control = scored.filter("treated = 0").select(F.col("sku_id").alias("control_id"), "cluster", "propensity")
     matched = nearest_match(promoted, control, "cluster", "propensity", "control_id")
-    return matched.select("sku_id", "cluster", "propensity", F.col("matched_control_id").alias("control_sku_id"),
-                          F.col("matched_score").alias("control_propensity"))
+    matched = matched.select("sku_id", F.col("matched_control_id").alias("control_sku_id"), F.col("matched_score").alias("control_propensity"))
+    return promoted.join(matched, "sku_id", "left")
 
 
 def attribute_spikes(features: DataFrame, spikes: DataFrame, on) -> DataFrame:
