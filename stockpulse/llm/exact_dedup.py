@@ -72,9 +72,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     slim = stage(hashed.select("_row", "doc_id", "n_points", "key", F.sha2("norm", 256).alias("text_sha256")), "rows")
     index = build_index(hashed, capacity)
     found = slim.join(index.select("key", "chain", "text_sha256", "group_size", "longest"), ["key", "text_sha256"])
-    best = (found.filter(F.col("n_points") == F.col("longest")).groupBy("key", "chain")
+    # written first: a join of two plain shuffles is one whose hot partitions Spark can split
+    best = stage(found.filter(F.col("n_points") == F.col("longest")).groupBy("key", "chain")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"))
-            .select("key", "chain", F.col("best.doc_id").alias("keep_id"), F.col("best._row").alias("keep_row")))
+            .select("key", "chain", F.col("best.doc_id").alias("keep_id"), F.col("best._row").alias("keep_row")), "best-rows")
     return found.join(best, ["key", "chain"]).select(
         "_row", "doc_id", "keep_id", "group_size", (F.col("_row") == F.col("keep_row")).alias("kept"), "text_sha256")
 
