@@ -164,7 +164,8 @@ def near_links(distinct: DataFrame, radius: int = RADIUS, chunk: int = CHUNK) ->
                                                   for i, (lo, w) in enumerate(pair)), F.lit(0).cast("long")).alias("key"))
             for t, pair in enumerate(combinations(RANGES, 2))]
     blocked = distinct.select("fp", F.explode(F.array(*keys)).alias("k")).select("fp", "k.band", "k.key")
-    shared = blocked.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    # written first: a join of two plain shuffles is one whose hot partitions Spark can split
+    shared = stage(blocked.groupBy("band", "key").agg(F.count("*").alias("n")).filter("n > 1"), "shared-blocks")
     rows = blocked.join(shared, ["band", "key"]).withColumn("chunks", F.ceil(F.col("n") / chunk).cast("int"))
     rows = rows.withColumn("c", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     cells = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
