@@ -6,6 +6,8 @@ sorted, cut into cells by their first bits. A query descends to the longest pref
 and looks at what is below; then it ascends in all trees at once. How far is set by the target recall: a
 neighbour at the angle of the best candidates found so far shares a prefix of d bits in at least one of
 T trees with probability 1 - (1 - p^d)^T, and the ascent ends at the deepest d that reaches the target.
+Where that would be less than the least depth, or so little that all trees together are asked for the whole
+table, or where too few candidates were found, it ends at depth 0 of one tree, whose cells hold every vector.
 On clustered vectors that is deep; on vectors without structure every forest has to look at much of the
 table, and this one does.
 """
@@ -147,16 +149,18 @@ def search(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedd
     queries = hashed.filter("asked").select("group", "v", F.posexplode("own").alias("tree", "string"))
 
     first = stage(_best(_look(forest, sizes, queries.withColumn("depth", F.lit(first_depth)), cell_bits, k + 1, bits), k + 1), "first-look")
-    # the angle of the k-th candidate on the sphere; with fewer candidates the query ascends to the least depth
+    # the angle of the k-th candidate on the sphere; with fewer candidates the query ascends to depth 0
     kth = first.groupBy("query").agg(F.count("*").alias("n"), F.min("score").alias("kth"))
     norms = hashed.filter("asked").select(F.col("group").alias("query"), F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x)).alias("norm"))
     kth = kth.join(norms, "query")
     p = 1 - F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.col("kth") / (F.col("norm") * longest)))) / np.pi
     miss = 1 - (1 - recall) ** (1 / trees)  # one tree must find a neighbour with this probability
     depth = F.floor(F.log(F.lit(miss)) / F.log(F.least(p, F.lit(1 - 1e-9))))
-    depth = F.when(F.col("n") > k, F.greatest(F.lit(least_depth), F.least(F.lit(first_depth), depth))).otherwise(least_depth)
+    whole = max(least_depth, int(np.log2(trees)))  # below it, all trees together look at more than the table
+    depth = F.when((F.col("n") > k) & (depth >= whole), F.least(F.lit(first_depth), depth)).otherwise(0)
     ascent = kth.select(F.col("query").alias("group"), depth.cast("int").alias("depth"))
-    further = queries.join(ascent, "group", "left").withColumn("depth", F.coalesce("depth", F.lit(least_depth))).filter(F.col("depth") < first_depth)
+    further = queries.join(ascent, "group", "left").withColumn("depth", F.coalesce("depth", F.lit(0))).filter(F.col("depth") < first_depth)
+    further = further.filter((F.col("depth") > 0) | (F.col("tree") == F.pmod(F.xxhash64("group"), F.lit(trees))))  # at depth 0 one tree has all
     second = _look(forest, sizes, further, cell_bits, k + 1, bits)
     best = stage(_best(first.select("query", "group", "score").unionByName(second), k + 1), "nearest-groups")
 

@@ -220,3 +220,19 @@ def test_neighbours_of_edge_cases(spark):
     assert got == {0: [(1, 1.0), (5, 0.5), (60, -1.0)], 60: [(5, 0.5), (0, -1.0), (1, -1.0)]}
     assert neighbours.search(spark.createDataFrame([], schema)).count() == 0
     assert neighbours.search(spark.createDataFrame(rows[:1], schema)).count() == 0
+
+
+def opposite_to_a_cone():
+    rng = np.random.default_rng(8)
+    x = 5 * np.eye(16)[0] + rng.standard_normal((400, 16))
+    x[::40] *= -1  # ten queries that point away from all the rest
+    return x
+
+
+@pytest.mark.parametrize("x,every", [(np.random.default_rng(7).standard_normal((12, 2)), 1), (np.random.default_rng(7).standard_normal((21, 64)), 1), (opposite_to_a_cone(), 40)])
+def test_neighbours_of_small_tables_and_lone_queries_are_whole(spark, x, every):
+    ids = np.arange(len(x))
+    rows = [(int(i), [float(c) for c in v]) for i, v in zip(ids, x)]
+    got = found_of(neighbours.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), every=every))
+    want = nearest(ids, x, every)
+    assert {q: [v for v, _ in near] for q, near in got.items()} == {q: [v for v, _ in near] for q, near in want.items()}
