@@ -497,7 +497,7 @@ def tune_weights(spark, root):
 @register
 def gbt_forecast(spark, root):
     t = retail.load(spark, root)
-    model = boosting.fit_gbt(t.sales, t.as_of, HORIZON, maxIter=20, maxDepth=4)
+    model = boosting.fit_gbt(t.sales, t.as_of, HORIZON)
     return boosting.gbt_forecast(model, t.sales, HORIZON)
 
 
@@ -681,4 +681,4 @@ def event_json(spark, root):
 def forecast_ensemble(spark, root):
     """Seasonal, boosted and lookback members combined, every series."""
     t = retail.load(spark, root)
-    return api.forecast(t, horizon_days=HORIZON, days_back=3650, maxIter=20, maxDepth=4)
+    return api.forecast(t, horizon_days=HORIZON, days_back=3650)

@@ -3,12 +3,13 @@
 import math
 
 import pytest
-from conftest import day, sales_rows
+from conftest import SF, day, sales_rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stockpulse.operators import boosting, forecasting, kpis
+from stockpulse.plans import queries
 
 WEEK = [1.0, 1.2, 0.8, 1.0, 1.5, 0.5, 1.0]
 
@@ -123,3 +124,17 @@ def test_training_rows_do_not_look_ahead(spark):
     assert rows
     for r in rows:
         assert r.label == r.lag_0 + r.horizon and (r.date - r.origin).days == r.horizon and r.series_mean < r.lag_0
+
+
+@pytest.mark.parametrize("name", ["gbt_forecast", "forecast_ensemble"])
+def test_registered_queries_fit_with_the_full_settings(spark, monkeypatch, name):
+    class Fitted(Exception):
+        pass
+
+    def learner(**options):
+        assert {k: options[k] for k in boosting.GBT_PARAMS} == boosting.GBT_PARAMS
+        raise Fitted
+
+    monkeypatch.setattr(boosting, "GBTRegressor", learner)
+    with pytest.raises(Fitted):
+        queries.REGISTRY[name](spark, SF)
