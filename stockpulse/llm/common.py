@@ -19,30 +19,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def readable_again(df: DataFrame) -> DataFrame:
-    """``df`` if it is a plain scan, whose rows come in the same places each time; else a copy in the shared folder.
-
-    After a shuffle the places may differ from one evaluation to the next, and with them the row keys.
-    """
-    shuffled = "AdaptiveSparkPlan" in df._jdf.queryExecution().executedPlan().toString()
-    return stage(df, "input") if shuffled else df
+#: Column that carries the row key of a numbered table.
+ROW_KEY = "_stockpulse_row"
 
 
-def with_row_key(df: DataFrame, name: str = "_row") -> DataFrame:
-    """Number every row by (scan partition, place): rows that are alike in every column stay apart.
+def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
+    """A copy of ``docs`` (or of ``columns`` of it) in the shared folder, with a row key stored beside each row.
 
-    The number is the same in each scan of the same files under the same session settings, also when
-    a lost task is run again. Callers select their columns first, so that no name can clash.
+    Rows that are alike in every column stay apart. The keys are given once and read from then on: places in a
+    scan depend on the cores at hand, so a second numbering could give other keys. ``ROW_KEY`` is not a name for
+    columns of one's own; a table that has it is taken as numbered already.
     """
-    return df.withColumn(name, F.monotonically_increasing_id())
+    if ROW_KEY in docs.columns:
+        return docs
+    chosen = docs.select(*columns) if columns else docs
+    return stage(chosen.withColumn(ROW_KEY, F.monotonically_increasing_id()), "numbered")
+
+
+def row_key(docs: DataFrame) -> Column:
+    """The stored key of a numbered table as ``_row``; of any other, a key that holds for one written pass only."""
+    return (F.col(ROW_KEY) if ROW_KEY in docs.columns else F.monotonically_increasing_id()).alias("_row")
 
 
-def keep_rows(df: DataFrame, kept: DataFrame) -> DataFrame:
-    """The rows of ``df`` whose row key is in ``kept`` (_row), with the columns of ``df``."""
-    name = "_row"
-    while name.lower() in {c.lower() for c in df.columns}:
-        name += "_"
-    return with_row_key(df, name).join(kept.select(F.col("_row").alias(name)), name, "left_semi").drop(name)
+def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """The rows of a numbered table whose key is in ``kept`` (_row), without the key."""
+    return docs.join(kept.select(F.col("_row").alias(ROW_KEY)), ROW_KEY, "left_semi").drop(ROW_KEY)
 
 
 def without_spaces(text: Column) -> Column:

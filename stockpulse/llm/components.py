@@ -10,13 +10,14 @@ from ..session import stage
 
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+    # minima are written first, here and below: a join of two plain shuffles is one whose hubs Spark can split
+    least = stage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "star-minima")
     return both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = stage(down.groupBy("a").agg(F.min("b").alias("m")), "star-minima")
     hung = down.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
@@ -30,7 +31,7 @@ def components(links: DataFrame) -> DataFrame:
     links = stage(links.filter("a <> b").distinct(), "links")
     before = None
     while True:
-        links = stage(_small_star(_large_star(links)), "stars")
+        links = stage(_small_star(stage(_large_star(links), "large-stars")), "stars")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import stage
-from .common import keep_rows, readable_again, with_row_key, without_spaces
+from .common import keep_rows, numbered, row_key, without_spaces
 
 #: Entries of a bucket, which one task writes, and the bits of the hash that the directory may use.
 CAPACITY, MAX_DEPTH = 100_000, 14
@@ -64,7 +64,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     under 64 forces collisions, for tests.
     """
     raw = F.coalesce(F.col(text_col), F.lit(""))
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), raw.alias("text")))
+    rows = docs.select(row_key(docs), F.col(id_col).alias("doc_id"), raw.alias("text"))
     norm = without_spaces(F.col("text"))
     full = F.xxhash64("norm")
     key = full if hash_bits == 64 else F.shiftleft(F.shiftrightunsigned(full, 64 - hash_bits), 64 - hash_bits)
@@ -82,5 +82,5 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` less all but the best row of each group of equal texts; its columns are unchanged."""
-    docs = readable_again(docs)
+    docs = numbered(docs)
     return keep_rows(docs, exact_groups(docs, id_col, text_col).filter("kept"))

@@ -19,6 +19,8 @@ No sketch decides anything: candidates lose no pair of the given similarity, lin
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,9 +28,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import readable_again, with_row_key
+from .common import row_key
 from .components import components
-from .jaccard_dedup import shingle_set
+from .simhash_dedup import SEED, _hashes
 
 #: Words of a shingle, fragments of the order, rounds of central nodes; least similarity is FOUR_FIFTHS.
 SHINGLE, FRAGMENTS, ROUNDS = 5, 8, 2
@@ -39,6 +41,12 @@ BATCH = 1 << 20
 COLUMNS = [f"f{k}" for k in range(FRAGMENTS)]
 
 
+def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
+    """Sorted different shingle hashes; a text of under ``k`` words is one shingle, one without words none."""
+    found = [np.unique(h) for h in _hashes((text or "").encode(), k, SEED)]
+    return np.unique(np.concatenate(found)) if found else np.empty(0, np.uint64)
+
+
 def least_of(size: Column) -> Column:
     """Overlap that a set needs with any partner: ceil(0.8 size)."""
     return F.ceil(size * FOUR_FIFTHS[0] / FOUR_FIFTHS[1]).cast("long")
@@ -50,11 +58,14 @@ def needed(one: Column, other: Column) -> Column:
     return F.floor((both + sum(FOUR_FIFTHS) - 1) / sum(FOUR_FIFTHS)).cast("long")
 
 
-def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE) -> DataFrame:
-    """(_row, doc_id, code, size, f0 to f7): each row's different shingle hashes, a list for each fragment."""
-    texts = with_row_key(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, sketch: Callable[[np.ndarray], int] | None = None) -> DataFrame:
+    """(_row, doc_id, code, size, f0 to f7): each row's different shingle hashes, a list for each fragment.
+
+    With ``sketch``, also fp, its value for the whole set.
+    """
+    texts = docs.select(row_key(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cuts = np.array([(i << 64) // FRAGMENTS for i in range(1, FRAGMENTS)], np.uint64)
-    names = ["_row", "doc_id", "code", "size", *COLUMNS]
+    names = ["_row", "doc_id", "code", "size", *COLUMNS, *(["fp"] if sketch else [])]
 
     def packed(rows, ids, codes, sets):
         edges = np.array([[0, *np.searchsorted(s, cuts), len(s)] for s in sets], np.int64)
@@ -64,7 +75,8 @@ def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE)
             values = np.concatenate([s[a:b] for s, a, b in zip(sets, edges[:, f], edges[:, f + 1])])
             lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))))
         return pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(ids, pa.int64()), pa.array(codes, pa.binary()),
-                                           pa.array([len(s) for s in sets], pa.int64()), *lists], names)
+                                           pa.array([len(s) for s in sets], pa.int64()), *lists,
+                                           *([pa.array([sketch(s) for s in sets], pa.int64())] if sketch else [])], names)
 
     def run(batches):
         for b in batches:
@@ -80,7 +92,7 @@ def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE)
                 yield packed(*zip(*held))
 
     lists = ", ".join(f"{c} array<long>" for c in COLUMNS)
-    return texts.mapInArrow(run, f"_row long, doc_id long, code binary, size long, {lists}")
+    return texts.mapInArrow(run, f"_row long, doc_id long, code binary, size long, {lists}" + (", fp long" if sketch else ""))
 
 
 def still_open(sets: DataFrame, heads: DataFrame) -> DataFrame:
@@ -145,8 +157,11 @@ def _in_groups(lists: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame
     return entries, stage(largest.select("shingle", F.col("most.root").alias("most")), "open-lists")
 
 
-def links_of(sets: DataFrame, heads: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(a, b): similar nodes, enough of them to connect every two that any links connect."""
+def links_of(sets: DataFrame, heads: DataFrame, rounds: int = ROUNDS, proposed: DataFrame | None = None) -> DataFrame:
+    """(a, b): similar nodes, enough of them to connect every two that any links connect.
+
+    ``proposed`` are pairs (a, b, size_a, size_b) from elsewhere to compare first; they only save comparisons.
+    """
     alive = still_open(sets, heads)
     fragments = F.array(*(F.col(c) for c in COLUMNS))
     parts = sets.withColumnRenamed("_row", "node").join(alive.select("node"), "node", "left_semi").select("node", F.posexplode(fragments).alias("fragment", "shingles"))
@@ -156,7 +171,12 @@ def links_of(sets: DataFrame, heads: DataFrame, rounds: int = ROUNDS) -> DataFra
     head = F.max(F.struct("central", "node", "size", "room")).alias("head")
     first = stage(lists.groupBy("shingle").agg(head, F.count("*").alias("n")).filter("n > 1").select("shingle", "head.*"), "list-heads")
     met = lists.alias("x").join(first.alias("y"), "shingle").filter("x.node <> y.node").filter(_could_match("x", "y"))
-    links = stage(similar_pairs(_pairs(met), parts), "links")
+    met = _pairs(met)
+    if proposed is not None:
+        known = stage(proposed.join(alive.select(F.col("node").alias("a")), "a", "left_semi").join(alive.select(F.col("node").alias("b")), "b", "left_semi")
+                      .select("a", "b", "size_a", "size_b"), "proposed-pairs")
+        met = stage(met.unionByName(known).distinct(), "candidate-pairs")
+    links = stage(similar_pairs(met, parts), "links")
     for _ in range(rounds - 1):
         entries, largest = _in_groups(lists, links)
         rest = entries.join(largest, "shingle").filter("root <> most")
@@ -178,7 +198,7 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is the smallest id reached over any number of links, null only where no id in reach is set. Repeated rows
     and equal sets are linked. Ids must be integers. Columns beyond id and text are not looked at.
     """
-    sets = stage(fragment_sets(readable_again(docs), id_col, text_col, k), "fragment-sets")
+    sets = stage(fragment_sets(docs, id_col, text_col, k), "fragment-sets")
     found = sets.filter("size > 0").select("_row", "doc_id", "code", "size")
     heads = stage(found.groupBy("code").agg(F.min("_row").alias("node"), F.first("size").alias("size"), F.min("doc_id").alias("least")), "different-sets")
     linked = components(links_of(sets, heads, rounds))

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import with_row_key
+from .common import row_key
 
 #: Cells that n-grams are hashed to, bits; languages a model may have; rounds of the mixture fit.
 CELL_BITS, MAX_LANGUAGES, ROUNDS, SMOOTH = 16, 200, 12, 0.5
@@ -116,7 +116,7 @@ def identify(docs: DataFrame, langs: list[str], logs: np.ndarray, id_col: str =
     ``lang_pred`` has the greatest share, and that share is ``score``. Without a letter in the text, or
     without a trained language, it is 'und', with score 0 and an empty set. Only the text is looked at.
     """
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    rows = docs.select(row_key(docs), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     model = docs.sparkSession.sparkContext.broadcast(logs)  # cells x languages, bounded by both parameters
 

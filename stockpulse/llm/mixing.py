@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import stage
-from .common import readable_again, with_row_key, word_count
+from .common import ROW_KEY, numbered, row_key, word_count
 
 #: Blocks of a source at most; a block has some rows of its source, however many there are.
 BLOCKS = 1024
@@ -103,7 +103,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     choice depends on id, text and seed, not on the order of rows; repeated rows are told apart by place.
     Rows of size 0 are taken with their block. An empty table gives no rows.
     """
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source")))
+    rows = docs.select(row_key(docs), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(source_col).cast("string").alias("source"))
     slim = stage(rows.select("_row", "doc_id", "source", word_count(F.col("text")).alias("size"),
                              F.xxhash64(F.lit(seed), "doc_id", "text").alias("order_key")), "mix-rows")
     slim = slim.withColumn("block", F.pmod(F.xxhash64("order_key"), F.lit(blocks)).cast("int"))
@@ -153,9 +153,6 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The rows of the mix, with the columns of ``docs``: a row taken twice is there twice."""
-    docs = readable_again(docs)
-    name = "_row"
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
-    uses = mix(docs, **options).filter("copies > 0").select(F.col("_row").alias(name), F.explode("shards").alias(name + "s"))
-    return with_row_key(docs, name).join(uses, name).drop(name, name + "s")
+    docs = numbered(docs)
+    uses = mix(docs, **options).filter("copies > 0").select(F.col("_row").alias(ROW_KEY), F.explode("shards").alias("_shard"))
+    return docs.join(uses.select(ROW_KEY), ROW_KEY).drop(ROW_KEY)

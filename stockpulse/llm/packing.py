@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import stage
-from .common import process_cache, with_row_key
+from .common import process_cache, row_key
 
 CAPACITY, END_ID = 1024, 2
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
@@ -69,7 +69,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capa
     import public_tokenizers
 
     path, pattern = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    rows = with_row_key(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    rows = docs.select(row_key(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def run(batches):

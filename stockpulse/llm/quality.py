@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import attach_row, stage
-from .common import keep_rows, readable_again, with_row_key
+from .common import keep_rows, numbered, row_key
 
 #: Labelled rows the classifier is fitted on: all, or about so many, chosen by a hash of the id.
 TRAIN_ROWS, SEED, ITERATIONS = 50_000, 29, 60
@@ -81,7 +81,7 @@ def features(text: str | None) -> list[float]:
 
 def measured(docs: DataFrame, id_col: str, text_col: str, host: Column, path: Column) -> DataFrame:
     """_row, doc_id, host, path and the feature array of each row."""
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), host.alias("host"), path.alias("path")))
+    rows = docs.select(row_key(docs), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), host.alias("host"), path.alias("path"))
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -164,5 +164,5 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def keep_good(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` that the classifier accepts, with its columns."""
-    docs = readable_again(docs)
+    docs = numbered(docs)
     return keep_rows(docs, score(docs, labels, **options).filter("keep"))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import stage
-from .common import byte_length, with_row_key
+from .common import byte_length, row_key
 
 SHARDS, SEED = 8, 53
 #: Rows of a shard that one task permutes, on average.
@@ -76,8 +76,8 @@ def shard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard
     the same shuffle.
     """
     text = F.col(text_col).cast("string")
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), (byte_length(text) + 1).alias("size"),
-                                    F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32")))
+    rows = docs.select(row_key(docs), F.col(id_col).alias("doc_id"), (byte_length(text) + 1).alias("size"),
+                       F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"))
     slim = stage(rows.withColumn("part", F.shiftright("_row", 33)), "shard-rows")
     counts = {r["part"]: r["n"] for r in slim.groupBy("part").agg(F.count("*").alias("n")).collect()}  # one row a partition
     parts = sorted(counts)

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import keep_rows, readable_again, with_row_key
+from .common import keep_rows, numbered, row_key
 from .components import components
 
 RADIUS, SEED, SHINGLE = 3, 42, 3
@@ -58,7 +58,7 @@ def fingerprint(text: str | None, k: int = SHINGLE, seed: int = SEED) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, seed: int = SEED) -> DataFrame:
     """(_row, doc_id, fp): the fingerprint as a signed long."""
-    rows = with_row_key(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    rows = docs.select(row_key(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches):
         for b in batches:
@@ -193,7 +193,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row left of each near-duplicate group: the smallest id, of repeated rows the first."""
-    docs = readable_again(docs)
+    docs = numbered(docs)
     groups = near_groups(docs, id_col, text_col)
     best = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("_row").alias("_row"))
     return keep_rows(docs, best)

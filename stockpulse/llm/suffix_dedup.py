@@ -1,7 +1,9 @@
-"""Removal of long repeated byte strings by distributed prefix doubling over sampled suffixes.
+"""Removal of long repeated byte strings by sampled suffixes; not a full prefix doubling.
 
-A byte goes if it lies in a string of ``LENGTH`` bytes that also starts anywhere else. Sorting all suffixes
-would shuffle many times the input, so suffixes are sampled in a way that loses nothing: the *anchor* of a
+A byte goes if it lies in a string of ``LENGTH`` bytes that also starts anywhere else. Prefix doubling over all
+suffixes sorts one (position, rank) pair of 16 bytes or more for each byte of text, in every round: over 16 times
+the input on disk where four times are allowed. So only the first two rounds are kept (64 and 128 bytes), and
+suffixes are sampled in a way that loses nothing: the *anchor* of a
 window of LENGTH bytes is the place of the smallest gram hash among its first ``SPAN`` places. It depends on
 the window alone, so equal windows have their anchors at the same offset. Only anchors (about one in 128
 bytes) enter the doubling:
@@ -29,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import stage
-from .common import process_cache, readable_again, with_row_key
+from ..session import discard, stage
+from .common import ROW_KEY, numbered, process_cache
 
 LENGTH, GRAM, SPAN, STEP = 400, 16, 256, 64
 #: Windows of a text that are worked on at a time.
@@ -90,8 +92,8 @@ def _signed(h: np.ndarray) -> pa.Array:
 
 
 def sampled(texts: DataFrame) -> DataFrame:
-    """(_row, at, first, last, rank, next, whole): anchors with the names of two runs of 64 bytes and of all their windows."""
-    names = ["_row", "at", "first", "last", "rank", "next", "whole"]
+    """(_row, at, first, last, rank, next, whole, whole2): anchors with the names of two runs of 64 bytes and of all their windows."""
+    names = ["_row", "at", "first", "last", "rank", "next", "whole", "whole2"]
 
     def run(batches):
         for b in batches:
@@ -99,13 +101,14 @@ def sampled(texts: DataFrame) -> DataFrame:
                 data = np.frombuffer(text.as_buffer(), np.uint8) if text.is_valid else np.zeros(0, np.uint8)
                 for start in range(0, max(len(data) - LENGTH + 1, 0), CHUNK):
                     piece = data[start:start + CHUNK + LENGTH - 1]
-                    h = Hashes(piece)
+                    h, second = Hashes(piece), Hashes(piece, 1)
                     at, first, last = anchors(piece, h)
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.full(len(at), row)), pa.array(at + start), pa.array(first + start), pa.array(last + start),
-                         _signed(h.of(at, at + 64)), _signed(h.of(at + 64, at + 128)), _signed(h.of(first, last + LENGTH))], names)
+                         _signed(h.of(at, at + 64)), _signed(h.of(at + 64, at + 128)), _signed(h.of(first, last + LENGTH)),
+                         _signed(second.of(first, last + LENGTH))], names)
 
-    return texts.mapInArrow(_larger(run, 100_000), "_row long, at long, first long, last long, rank long, next long, whole long")
+    return texts.mapInArrow(_larger(run, 100_000), "_row long, at long, first long, last long, rank long, next long, whole long, whole2 long")
 
 
 def _larger(run, rows: int):
@@ -214,13 +217,17 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     """(_row, text) -> (_row, first, last): ranges of starts at which a window occurs that also starts elsewhere."""
     found = stage(sampled(texts), "anchors")
     half = stage(_repeated(found, ["rank"]), "anchors-64")  # round 1
+    discard(found)
     full = _repeated(half, ["rank", "next"]).withColumn("rank", F.xxhash64("rank", "next")).drop("next")  # round 2
     full = stage(full, "anchors-128")
+    discard(half)
 
-    kinds = full.groupBy("whole").agg(F.count("*").alias("n"), F.min(F.struct("_row", "first")).alias("head"))
-    sorted_out = full.join(stage(kinds.filter("n > 1"), "repeated-wholes"), "whole", "left")
+    wholes = ["whole", "whole2"]  # 128 bits: removal rests on this name alone
+    kinds = full.groupBy(*wholes).agg(F.count("*").alias("n"), F.min(F.struct("_row", "first")).alias("head"))
+    sorted_out = full.join(stage(kinds.filter("n > 1"), "repeated-wholes"), wholes, "left")
     sorted_out = stage(sorted_out.select("_row", "at", "first", "last", "rank", F.col("n").isNull().alias("open"),
                                          F.col("head").eqNullSafe(F.struct("_row", "first")).alias("head")), "anchors-sorted")
+    discard(full)
     still = sorted_out.filter("open")
     partners = sorted_out.filter("head AND NOT open").join(stage(still.select("rank").distinct(), "open-ranks"), "rank", "left_semi")
     active = still.unionByName(partners.select(*still.columns)).withColumn("weight", F.when(F.col("open"), 1).otherwise(2).cast("long"))
@@ -235,6 +242,7 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     cores = nodes.groupBy("node", "core").agg(F.sum("weight").alias("n"), F.max("open").alias("asked")).filter("n > 1 AND asked")
     cores = stage(cores.select("node", "core"), "repeated-cores")
     alive = stage(nodes.join(cores, ["node", "core"], "left_semi"), "open-nodes")
+    discard(nodes)
 
     windows = with_text(alive, columns).select("_row", "text", "points").mapInArrow(
         _larger(_windows, 50_000), "_row long, start long, weight long, open boolean, name1 long, name2 long")
@@ -242,8 +250,10 @@ def repeated_ranges(texts: DataFrame) -> DataFrame:
     names = windows.groupBy("name1", "name2").agg(F.sum("weight").alias("n"), F.max("open").alias("asked")).filter("n > 1 AND asked")
     names = stage(names.select("name1", "name2"), "repeated-names")
     late = windows.filter("open").join(names, ["name1", "name2"], "left_semi")
-    return stage(sorted_out.filter("NOT open").select("_row", "first", "last").unionByName(
+    ranges = stage(sorted_out.filter("NOT open").select("_row", "first", "last").unionByName(
         late.select("_row", F.col("start").alias("first"), F.col("start").alias("last"))), "repeated-ranges")
+    discard(windows, alive, sorted_out)
+    return ranges
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -253,12 +263,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     across documents, and never cross from one into another; repeated rows are copies of each other, so a
     text of ``LENGTH`` bytes that occurs twice goes whole. Spans are byte ranges [start, end) of the input.
     """
-    spark, docs = docs.sparkSession, readable_again(docs)
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")))
+    spark = docs.sparkSession
+    rows = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).withColumnRenamed(ROW_KEY, "_row")
     kind = rows.schema["doc_id"].dataType.simpleString()
     with _shuffles_freed(spark):
         ranges = repeated_ranges(rows.select("_row", "text"))
         listed = ranges.groupBy("_row").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
         out = rows.join(listed, "_row", "left").select("_row", "doc_id", "text", "ranges").mapInArrow(
             _kept, f"_row long, doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, span_starts array<long>, span_ends array<long>")
-        return stage(out, "without-repeats")
+        out = stage(out, "without-repeats")
+        discard(ranges)
+        return out

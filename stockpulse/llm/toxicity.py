@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
-from .common import with_row_key
+from .common import row_key
 
 #: Labelled rows the model is fitted on: all, or about so many, chosen by a hash of the id. Features at most.
 TRAIN_ROWS, MAX_FEATURES, SEED = 40_000, 8192, 41
@@ -173,7 +173,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     an id or outside 0 and 1 are not used; of several, toxic counts. Where labels show only one kind there
     is no model: severity, grade and p_toxic are null and toxic is false.
     """
-    rows = with_row_key(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")))
+    rows = docs.select(row_key(docs), F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     model = train(docs, labels, id_col, text_col, **options)
     if model is None:
         return rows.select("_row", "doc_id", F.lit(None).cast("double").alias("severity"), F.lit(None).cast("int").alias("grade"),

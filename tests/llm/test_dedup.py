@@ -200,3 +200,47 @@ def test_empty_tables(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert exact_dedup.exact_groups(none).count() == exact_dedup.drop_copies(none).count() == 0
     assert simhash_dedup.near_groups(none).count() == suffix_dedup.remove_repeats(none).count() == 0
+
+
+@pytest.fixture
+def moving_partitions(spark, monkeypatch):
+    """Every written step is followed by another number of partitions of a scan, as on a cluster that grows or shrinks."""
+    from stockpulse import session
+    from stockpulse.llm import common, components, jaccard_dedup, jaccard_join, mixing, quality
+
+    sizes, key = iter(range(10_000)), "spark.sql.leafNodeDefaultParallelism"
+
+    def moving(df, label):
+        out = session.stage(df, label)
+        spark.conf.set(key, str(1 + 3 * next(sizes) % 7))
+        return out
+
+    for module in (common, components, exact_dedup, jaccard_dedup, jaccard_join, mixing, quality, simhash_dedup, suffix_dedup):
+        monkeypatch.setattr(module, "stage", moving)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes",)}
+    spark.conf.set("spark.sql.files.openCostInBytes", "1024")
+    yield
+    spark.conf.unset(key)
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_results_hold_while_the_partitions_of_scans_change(spark, moving_partitions, tmp_path):
+    from test_similar import expected_rows
+
+    from stockpulse.llm import jaccard_dedup, mixing
+
+    many(spark, 300).repartition(12).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    rows = sorted(tuple(r)[:2] for r in docs.collect())
+    got = suffix_dedup.remove_repeats(docs).collect()
+    assert sorted([(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got], key=repr) == expected_removed(rows)
+    assert sorted(r.doc_id for r in jaccard_dedup.drop_similar(docs).collect()) == sorted(g[0] for g in expected_rows(rows))
+    best = {}
+    for i, text in rows:
+        best[squeezed(text)] = min(best.get(squeezed(text), (0, i)), (-len(text), i))
+    assert sorted(r.doc_id for r in exact_dedup.drop_copies(docs).collect()) == sorted(i for _, i in best.values())
+    fixed = [sorted(r.doc_id for r in mixing.mix_documents(docs).collect()) for _ in range(2)]
+    assert fixed[0] == fixed[1]
+    texts = dict(rows)
+    assert all(texts[r.doc_id] == r.text for r in mixing.mix_documents(docs).collect())
