@@ -28,7 +28,7 @@ def build_session(app: str = "stockpulse", master: str | None = None, **settings
     return builder.getOrCreate()
 
 
-_local_dirs: dict[str, str] = {}
+_local_dirs: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -43,9 +43,9 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    if context.applicationId not in _local_dirs:
-        _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="stockpulse-")
-    return _local_dirs[context.applicationId]
+    if context.applicationId not in _local_dirs:  # gone with the driver process
+        _local_dirs[context.applicationId] = tempfile.TemporaryDirectory(prefix="stockpulse-", ignore_cleanup_errors=True)
+    return _local_dirs[context.applicationId].name
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -60,7 +60,22 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    written = df.sparkSession.read.schema(df.schema).parquet(path)
+    written.staged_at = path
+    return written
+
+
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop's API: works on any store that Spark can reach."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def discard(*staged: DataFrame) -> None:
+    """Remove staged copies once everything read from them has been written itself."""
+    for df in staged:
+        fs, where = file_system(df.sparkSession, df.staged_at)
+        fs.delete(where, True)
 
 
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
