@@ -159,7 +159,7 @@ class Manifest:
         root = self.root.first()
         starts = self.root.select("tree", "depth", "digest", none.alias("proof"))
         trees = None if wanted is None else wanted.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank")).distinct()
-        subroots = self.subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank"), "depth", "digest")
+        subroots = stage(self.subroots.select(F.lit(0).cast("long").alias("tree"), F.col("tree").alias("rank"), "depth", "digest"), "subroot-leaves")
         tops = _below(*descend(starts, self.top_records, trees), subroots)
         starts = stage(tops.select(F.col("rank").alias("tree"), "depth", "digest", "proof"), "subroot-proofs")
         leaves = self.leaves if wanted is None else self.leaves.join(wanted.select("tree", "rank").distinct(), ["tree", "rank"], "left_semi")
