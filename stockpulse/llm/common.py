@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 import types
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from ..session import stage
 #: ASCII white space, \x20 and \x09-\x0D; nothing else counts as space in these operators.
 SPACES = (" ", "\t", "\n", "\x0b", "\x0c", "\r")
 WORD = r"[^\x20\x09-\x0D]+"
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,6 +48,17 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     return docs.join(kept.select(F.col("_row").alias(ROW_KEY)), ROW_KEY, "left_semi").drop(ROW_KEY)
 
 
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Shuffle files go as soon as the table they were made for is written; every step here ends in one."""
+    before = spark.conf.get(FREED, None)
+    spark.conf.set(FREED, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
+
+
 def without_spaces(text: Column) -> Column:
     """``text`` less every ASCII white-space character."""
     for space in SPACES:

@@ -22,17 +22,20 @@ def _small_star(links: DataFrame) -> DataFrame:
     return hung.unionByName(least.select("a", F.col("m").alias("b"))).distinct()
 
 
+def _are_stars(links: DataFrame) -> bool:
+    """True if every ``a`` has one ``b`` and no ``b`` is itself an ``a``: each ``b`` is then the root of its nodes."""
+    forked = links.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a")
+    chained = links.select(F.col("b").alias("a")).distinct().join(links.select("a"), "a", "left_semi")
+    return forked.unionByName(chained).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(a, b), longs -> (node, root): root is the smallest node linked to ``node``, over any number of steps.
 
     Nodes without links have no row. Each round is written to the shared folder. Hubs are met by minima with
     map-side combining and by joins that can be split; no task holds the neighbours of a node.
     """
-    links = stage(links.filter("a <> b").distinct(), "links")
-    before = None
-    while True:
+    links = stage(links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    while not _are_stars(links):
         links = stage(_small_star(stage(_large_star(links), "large-stars")), "stars")
-        now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        before = now
+    return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -9,8 +9,8 @@ a document's set is stored as one column a fragment, so that each step reads the
    Different documents drop out after two or three of the fragments, near copies see all.
 3. Of the nodes left, shingles are put in order of document frequency. Two similar sets share one of their
    rarest s - ceil(0.8 s) + 1, at places that leave room for the overlap they need (prefix and position).
-4. Nodes with a common prefix shingle form a list. In a few rounds the most central node of each list is
-   compared with the others; then whatever is not yet connected within a list is compared pair by pair. Pairs
+4. Nodes with a common prefix shingle form a list. First the most central node of each list is compared
+   with the others; then whatever is not yet connected within a list is compared pair by pair. Pairs
    already connected are never formed, so a group of near copies costs one pair a member.
 5. A pair is compared fragment by fragment: partial overlaps are counted separately and summed per pair.
 
@@ -27,13 +27,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
-from .common import row_key
+from ..session import discard, stage
+from .common import row_key, shuffles_freed
 from .components import components
 from .simhash_dedup import SEED, _hashes
 
 #: Words of a shingle, fragments of the order, rounds of central nodes; least similarity is FOUR_FIFTHS.
-SHINGLE, FRAGMENTS, ROUNDS = 5, 8, 2
+SHINGLE, FRAGMENTS, ROUNDS = 5, 8, 1
+#: Fragments that one step looks at: the first two, in which most texts drop out, one by one.
+STEPS = ((0,), (1,), (2, 3), (4, 5), (6, 7))
 #: Similarity of 4/5: overlap >= 4/9 of both sizes together, size of the smaller >= 4/5 of the larger.
 FOUR_FIFTHS = (4, 5)
 #: Shingles of a record batch, about.
@@ -95,11 +97,25 @@ def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE,
     return texts.mapInArrow(run, f"_row long, doc_id long, code binary, size long, {lists}" + (", fp long" if sketch else ""))
 
 
+def of_nodes(sets: DataFrame, alive: DataFrame, *columns: Column) -> DataFrame:
+    """(node, ``columns``) of the nodes in ``alive``. Always a sort-merge join: the plan is the same at every size."""
+    return sets.select(F.col("_row").alias("node"), *columns).join(alive.select("node").hint("merge"), "node", "left_semi")
+
+
+def open_sets(sets: DataFrame, alive: DataFrame) -> DataFrame:
+    """(node, fragment, shingles) of the nodes in ``alive``, written four fragments at a time: a step shuffles half of the sets."""
+    steps = []
+    for k in range(0, FRAGMENTS, 4):
+        lists = F.array(*(F.struct(F.lit(i).alias("fragment"), F.col(COLUMNS[i]).alias("shingles")) for i in range(k, k + 4)))
+        steps.append(stage(of_nodes(sets, alive, F.explode(lists).alias("f")).select("node", "f.*"), "open-sets"))
+    return steps[0].sparkSession.read.schema(steps[0].schema).parquet(*(s.staged_at for s in steps))
+
+
 def still_open(sets: DataFrame, heads: DataFrame) -> DataFrame:
     """(node, size): nodes at most a fifth of whose shingles were found to be theirs alone."""
     alive = stage(heads.select("node", "size", F.lit(0).cast("long").alias("alone")), "open-nodes")
-    for c in COLUMNS:
-        part = sets.select(F.col("_row").alias("node"), F.col(c).alias("part")).join(alive.select("node"), "node", "left_semi")
+    for step in STEPS:
+        part = of_nodes(sets, alive, F.concat(*(F.col(COLUMNS[k]) for k in step)).alias("part"))
         held = part.select("node", F.explode("part").alias("shingle"))
         # one row a shingle after map-side combining, however many nodes hold it
         owners = held.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"))
@@ -132,8 +148,8 @@ def _could_match(a: str, b: str) -> Column:
 
 def similar_pairs(pairs: DataFrame, parts: DataFrame) -> DataFrame:
     """(a, b) of ``pairs`` (a, b, size_a, size_b) that are similar: partial overlaps a fragment, summed per pair."""
-    one = parts.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("left"))
-    other = parts.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("right"))
+    one = parts.select(F.col("node").alias("a"), "fragment", F.col("shingles").alias("left")).hint("merge")
+    other = parts.select(F.col("node").alias("b"), "fragment", F.col("shingles").alias("right")).hint("merge")
     met = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(FRAGMENTS - 1)))).join(one, ["a", "fragment"]).join(other, ["b", "fragment"])
     partial = met.select("a", "b", "size_a", "size_b", F.size(F.array_intersect("left", "right")).cast("long").alias("common"))
     whole = partial.groupBy("a", "b", "size_a", "size_b").agg(F.sum("common").alias("common"))
@@ -163,9 +179,7 @@ def links_of(sets: DataFrame, heads: DataFrame, rounds: int = ROUNDS, proposed:
     ``proposed`` are pairs (a, b, size_a, size_b) from elsewhere to compare first; they only save comparisons.
     """
     alive = still_open(sets, heads)
-    fragments = F.array(*(F.col(c) for c in COLUMNS))
-    parts = sets.withColumnRenamed("_row", "node").join(alive.select("node"), "node", "left_semi").select("node", F.posexplode(fragments).alias("fragment", "shingles"))
-    parts = stage(parts, "open-sets")
+    parts = open_sets(sets, alive)
     lists = stage(prefix_lists(parts, alive), "prefix-lists")
 
     head = F.max(F.struct("central", "node", "size", "room")).alias("head")
@@ -186,7 +200,9 @@ def links_of(sets: DataFrame, heads: DataFrame, rounds: int = ROUNDS, proposed:
     entries, largest = _in_groups(lists, links)
     rest = stage(entries.join(largest, "shingle").filter("root <> most").drop("most"), "rest")
     met = entries.alias("x").join(rest.alias("y"), "shingle").filter("x.root <> y.root").filter(_could_match("x", "y"))
-    return links.unionByName(similar_pairs(_pairs(met), parts))
+    links = stage(links.unionByName(similar_pairs(_pairs(met), parts)), "links")
+    discard(lists, entries, rest)
+    return links
 
 
 def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
@@ -198,12 +214,15 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     is the smallest id reached over any number of links, null only where no id in reach is set. Repeated rows
     and equal sets are linked. Ids must be integers. Columns beyond id and text are not looked at.
     """
-    sets = stage(fragment_sets(docs, id_col, text_col, k), "fragment-sets")
-    found = sets.filter("size > 0").select("_row", "doc_id", "code", "size")
-    heads = stage(found.groupBy("code").agg(F.min("_row").alias("node"), F.first("size").alias("size"), F.min("doc_id").alias("least")), "different-sets")
-    linked = components(links_of(sets, heads, rounds))
-    placed = heads.join(linked, "node", "left").select("code", "least", F.coalesce("root", "node").alias("root"))
-    least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
-    groups = stage(placed.join(least, "root").select("code", "component_id"), "set-groups")
-    alone = sets.filter("size = 0").select("_row", "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    with shuffles_freed(docs.sparkSession):
+        sets = stage(fragment_sets(docs, id_col, text_col, k), "fragment-sets")
+        rows = stage(sets.select("_row", "doc_id", "code", "size"), "set-rows")
+        found = rows.filter("size > 0")
+        heads = stage(found.groupBy("code").agg(F.min("_row").alias("node"), F.first("size").alias("size"), F.min("doc_id").alias("least")), "different-sets")
+        links = links_of(sets, heads, rounds)
+        discard(sets)
+        placed = heads.join(components(links), "node", "left").select("code", "least", F.coalesce("root", "node").alias("root"))
+        least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
+        groups = stage(placed.join(least, "root").select("code", "component_id"), "set-groups")
+    alone = rows.filter("size = 0").select("_row", "doc_id", F.col("size").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return found.join(groups, "code").select("_row", "doc_id", F.col("size").alias("n_shingles"), "component_id").unionByName(alone)

@@ -24,22 +24,20 @@ anchors, and in step 4 the bytes near the ends of repeated passages, whatever th
 from __future__ import annotations
 
 import hashlib
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, stage
-from .common import ROW_KEY, numbered, process_cache
+from .common import ROW_KEY, numbered, process_cache, shuffles_freed
 
 LENGTH, GRAM, SPAN, STEP = 400, 16, 256, 64
 #: Windows of a text that are worked on at a time.
 CHUNK = 1 << 20
 #: Multipliers of the two hashes, odd.
 BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
-FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -202,17 +200,6 @@ def _kept(batches):
                                           *(pa.array(c, pa.list_(pa.int64())) for c in columns[6:])], ["_row", "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "span_starts", "span_ends"])
 
 
-@contextmanager
-def _shuffles_freed(spark: SparkSession):
-    """Shuffle files go as soon as the table they were made for is written; every step here ends in one."""
-    before = spark.conf.get(FREED, None)
-    spark.conf.set(FREED, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
-
-
 def repeated_ranges(texts: DataFrame) -> DataFrame:
     """(_row, text) -> (_row, first, last): ranges of starts at which a window occurs that also starts elsewhere."""
     found = stage(sampled(texts), "anchors")
@@ -266,7 +253,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     rows = numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").cast("binary").alias("text")).withColumnRenamed(ROW_KEY, "_row")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    with _shuffles_freed(spark):
+    with shuffles_freed(spark):
         ranges = repeated_ranges(rows.select("_row", "text"))
         listed = ranges.groupBy("_row").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
         out = rows.join(listed, "_row", "left").select("_row", "doc_id", "text", "ranges").mapInArrow(

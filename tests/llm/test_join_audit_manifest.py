@@ -96,9 +96,7 @@ def test_no_pair_is_lost_by_the_lists(spark):
     sets = stage(jaccard_join.fragment_sets(docs, "doc_id", "text"), "test-sets")
     heads = sets.select(F.col("_row").alias("node"), "size")
     alive = jaccard_join.still_open(sets, heads)
-    fragments = F.array(*jaccard_join.COLUMNS)
-    parts = sets.withColumnRenamed("_row", "node").join(alive.select("node"), "node", "left_semi").select("node", F.posexplode(fragments).alias("fragment", "shingles"))
-    lists = jaccard_join.prefix_lists(parts, alive)
+    lists = jaccard_join.prefix_lists(jaccard_join.open_sets(sets, alive), alive)
     met = lists.alias("x").join(lists.alias("y"), "shingle").filter("x.node < y.node").filter(jaccard_join._could_match("x", "y"))
     pairs = {(r[0], r[1]) for r in met.select("x.node", "y.node").distinct().collect()}
     own = {r["_row"]: {x for c in jaccard_join.COLUMNS for x in r[c]} for r in sets.collect()}
