@@ -101,4 +101,29 @@ e AS (SELECT category, w_seasonal, w_naive, w_lookback, round(sum(abs(a-(seasona
   FROM x JOIN g ON true GROUP BY 1,2,3,4)
 SELECT category, round(wape,4) AS wape, w_seasonal, w_naive, w_lookback FROM (
   SELECT *, row_number() OVER (PARTITION BY category ORDER BY wape, w_seasonal, w_naive, w_lookback) AS rn FROM e) WHERE rn=1""",
+    "conformal_widths": f"WITH train AS (SELECT * FROM sales WHERE date <= {_HOLD})," + seasonal("train", _K, 90, last=_HOLD) + ","
+    + lookback("train", _K, 90, last=f"max({_HOLD})") + f""",
+lv AS (SELECT sku_id, region, greatest(avg(sales_qty),1) AS level FROM train GROUP BY 1,2),
+h AS (SELECT sku_id, region, date, sales_qty, CAST(floor((date-({_HOLD})-1)/7e0) AS INT) AS week, level, seasonal, lookback FROM sales
+  JOIN lv USING (sku_id, region) LEFT JOIN sf USING (sku_id, region, date) LEFT JOIN lf USING (sku_id, region, date) WHERE date > {_HOLD}),
+u AS (SELECT 'seasonal' AS member, week, abs(sales_qty-seasonal)/level AS score FROM h UNION ALL SELECT 'lookback', week, abs(sales_qty-lookback)/level FROM h),
+r AS (SELECT *, row_number() OVER (PARTITION BY member, week ORDER BY score) AS k, count(*) OVER (PARTITION BY member, week) AS n FROM u WHERE score IS NOT NULL)
+SELECT member, week, n, round(score,6) AS width FROM r WHERE k = CAST(ceil((n+1)*900000/1e6) AS BIGINT)""",
+    "backtest_members": "WITH " + _TRAIN + "," + seasonal("train", _FK, 28, last=_CUT) + "," + lookback("train", _FK, 28, last="max(" + _CUT + ")") + f""",
+m AS (SELECT fold, a, seasonal, lookback FROM act JOIN sf USING (fold, sku_id, region, date) LEFT JOIN lf USING (fold, sku_id, region, date)),
+e AS (SELECT fold, 'seasonal' AS member, a, seasonal AS p FROM m UNION ALL SELECT fold, 'lookback', a, lookback FROM m WHERE lookback IS NOT NULL
+  UNION ALL SELECT fold, 'ensemble', a, CASE WHEN lookback IS NULL THEN seasonal ELSE (0.4e0*seasonal+0.2e0*lookback)/(0.4e0+0.2e0) END FROM m)
+SELECT fold, member, {_ERR.format(n=4)} FROM e GROUP BY 1,2""",
+    "trained_model_errors": """
+WITH hist AS (SELECT * FROM sales WHERE date >= (SELECT d FROM as_of_day)-548),
+train AS (SELECT *, 1 AS fold FROM hist WHERE date <= (SELECT d FROM as_of_day)-28),
+act AS (SELECT sku_id, region, date, sales_qty AS a, 1 AS fold FROM hist WHERE date > (SELECT d FROM as_of_day)-28),""" + seasonal("train", _FK, 28, last=_CUT) + ","
+    + lookback("train", _FK, 28, last="max(" + _CUT + ")") + """,
+e AS (SELECT 'seasonal' AS model_name, a, seasonal AS p FROM act JOIN sf USING (fold, sku_id, region, date)
+  UNION ALL SELECT 'lookback', a, lookback FROM act JOIN lf USING (fold, sku_id, region, date)
+  UNION ALL SELECT 'naive', act.a, y.sales_qty FROM act JOIN hist y ON y.sku_id=act.sku_id AND y.region=act.region AND y.date=act.date-364)
+SELECT model_name, count(*) AS rows, round(avg(abs(a-p)/nullif(CAST(a AS DOUBLE),0)*100),4) AS avg_mape, round(sqrt(avg((p-a)*(p-a))),4) AS avg_rmse FROM e GROUP BY 1""",
+    "served_forecast": "WITH past AS (SELECT * FROM sales WHERE date <= (SELECT d FROM as_of_day)-28)," + seasonal("past", _K, 28) + "," + lookback("past", _K, 28) + """
+SELECT sku_id, region, date, round(CASE WHEN lookback IS NULL THEN seasonal ELSE (0.4e0*seasonal+0.2e0*lookback)/(0.4e0+0.2e0) END,1) AS predicted_demand,
+  'ensemble' AS model_used, 1 AS model_version FROM sf LEFT JOIN lf USING (sku_id, region, date)""",
 }

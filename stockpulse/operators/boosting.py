@@ -72,12 +72,21 @@ def fit_gbt(sales: DataFrame, as_of, horizon: int, keys=SERIES_KEYS, train_days:
     return Pipeline(stages=[VectorAssembler(inputCols=INPUTS, outputCol="features"), gbt]).fit(rows)
 
 
-def gbt_forecast(model: PipelineModel, sales: DataFrame, horizon: int, keys=SERIES_KEYS) -> DataFrame:
-    """Every future day of every series from its newest row, floored at zero.
+def newest_origins(sales: DataFrame, keys=SERIES_KEYS) -> DataFrame:
+    """Origin features of each series' newest row: all that serving a fitted model needs of the history.
 
     ``sales`` must be the whole history of a series, as in the fit: its features look back over all of it.
     """
     newest = Window.partitionBy(*keys).orderBy(F.desc("origin"))
-    last = origin_features(sales, keys).withColumn("rn", F.row_number().over(newest)).filter("rn = 1")
-    days = _target_features(last.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizon)))))
+    return origin_features(sales, keys).withColumn("rn", F.row_number().over(newest)).filter("rn = 1").drop("rn")
+
+
+def serve_gbt(model: PipelineModel, origins: DataFrame, horizon: int, keys=SERIES_KEYS) -> DataFrame:
+    """Every day up to ``horizon`` after each origin, floored at zero."""
+    days = _target_features(origins.withColumn("horizon", F.explode(F.sequence(F.lit(1), F.lit(horizon)))))
     return model.transform(days).select(*keys, "date", fx.floor_zero("prediction").alias("boosted"))
+
+
+def gbt_forecast(model: PipelineModel, sales: DataFrame, horizon: int, keys=SERIES_KEYS) -> DataFrame:
+    """Every future day of every series from its newest row."""
+    return serve_gbt(model, newest_origins(sales, keys), horizon, keys)

@@ -147,17 +147,18 @@ def seasonal_naive(sales: DataFrame, horizon: int, keys=SERIES_KEYS) -> DataFram
         *keys, F.col("future").alias("date"), F.col("sales_qty").cast("double").alias("naive"))
 
 
+def weighted_mean(columns, weights: dict[str, float] | None = None) -> Column:
+    """Weighted mean of the members among ``columns`` that are present on a row."""
+    used = {m: w for m, w in (weights or DEFAULT_WEIGHTS).items() if m in columns}
+    total = reduce(lambda a, b: a + b, [F.coalesce(F.col(m) * w, F.lit(0.0)) for m, w in used.items()])
+    mass = reduce(lambda a, b: a + b, [F.when(F.col(m).isNotNull(), w).otherwise(0.0) for m, w in used.items()])
+    return _div(total, mass)
+
+
 def ensemble(members: DataFrame, weights: dict[str, float] | None = None, model: str = "ensemble", include_ci: bool = True,
              keys=SERIES_KEYS) -> DataFrame:
     """Weighted mean of the member columns present on a row, or one chosen member."""
-    weights = weights or DEFAULT_WEIGHTS
-    if model == "ensemble":
-        used = {m: w for m, w in weights.items() if m in members.columns}
-        total = reduce(lambda a, b: a + b, [F.coalesce(F.col(m) * w, F.lit(0.0)) for m, w in used.items()])
-        mass = reduce(lambda a, b: a + b, [F.when(F.col(m).isNotNull(), w).otherwise(0.0) for m, w in used.items()])
-        value = _div(total, mass)
-    else:
-        value = F.col(model)
+    value = weighted_mean(members.columns, weights) if model == "ensemble" else F.col(model)
     bound = (lambda c: F.round(c, 1)) if include_ci else (lambda c: F.lit(None).cast("double"))
     return members.select(*keys, "date", F.round(value, 1).alias("predicted_demand"), bound("lower_bound").alias("lower_bound"),
                           bound("upper_bound").alias("upper_bound"), F.lit(model).alias("model_used"))

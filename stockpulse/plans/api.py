@@ -14,8 +14,10 @@ from ..operators import (anomaly, boosting, causal, clustering, forecasting, kpi
 from ..operators.features import build_features, two_sigma_flags
 from ..schemas import SERIES_KEYS
 from ..session import attach_row
+from ..sources.model_store import ModelStore
 from ..sources.retail import RetailTables
 from ..sources.tables import load_sku_history
+from . import forecast_jobs
 
 #: Accepted model names and the member each one selects.
 MODELS = {"ensemble": "ensemble", "seasonal": "seasonal", "boosted": "boosted", "lookback": "lookback",
@@ -67,16 +69,17 @@ def forecast(tables: RetailTables, sku_id: str | None = None, region: str | None
     return forecasting.ensemble(rows, weights, member, include_ci).withColumn("model_used", F.lit(model))
 
 
-def forecast_response(tables: RetailTables, points: DataFrame, horizon_days: int, holdout_days: int = 30,
-                      version: str = "seasonal=1,boosted=1,lookback=1") -> DataFrame:
+def forecast_response(tables: RetailTables, points: DataFrame, horizon_days: int, holdout_days: int = 30, model: str = "seasonal",
+                      version: str = "unpublished", weights: dict | None = None, **gbt_params) -> DataFrame:
     """One nested record per series: ordered points, holdout errors and seasonal components.
 
-    A list holds at most 365 points. Errors come from the closed-form members fitted without the last
-    ``holdout_days`` days, not from comparing future predictions with past sales.
+    A list holds at most 365 points. Errors are those of ``model``, the member that the points are of, fitted
+    without the last ``holdout_days`` days. A stored version has them measured already: :func:`serve_response`.
     """
-    held = forecasting.holdout_members(tables.sales, tables.as_of, holdout_days)
-    scored = held.withColumn("predicted", F.coalesce((F.col("seasonal") * 2 + F.col("lookback")) / 3, "seasonal"))
-    errors = kpis.forecast_errors(scored, SERIES_KEYS).select(*SERIES_KEYS, F.round("mape", 2).alias("mape"), F.round("rmse", 2).alias("rmse"))
+    _require(model in MODELS, f"model must be one of {sorted(MODELS)}")
+    member = MODELS[model]
+    held = forecast_jobs.holdout(tables.sales, tables.as_of, holdout_days, member in ("ensemble", "boosted"), weights, **gbt_params)
+    errors = kpis.forecast_errors(held.withColumn("predicted", F.col(member)), SERIES_KEYS).select(*SERIES_KEYS, F.round("mape", 2).alias("mape"), F.round("rmse", 2).alias("rmse"))
     strength = forecasting.seasonal_strength(tables.sales)
     parts = strength.select(*SERIES_KEYS, F.struct("weekly_amplitude", "monthly_amplitude", "trend_slope_per_day").alias("seasonal_components"))
     point = F.struct(fx.date_text("date").alias("date"), "predicted_demand", "lower_bound", "upper_bound", "model_used")
@@ -86,6 +89,20 @@ def forecast_response(tables: RetailTables, points: DataFrame, horizon_days: int
                     "forecast", "mape", "rmse", F.lit(version).alias("model_version"), "seasonal_components"))
 
 
+def serve_forecast(store: ModelStore, sku_id: str | None = None, region: str | None = None, horizon_days: int = 90, model: str = "ensemble",
+                   include_ci: bool = True, weights: dict | None = None, as_of=None, number: int | None = None, name: str = "forecast") -> DataFrame:
+    """Forecast of a published version, the newest by default; nothing is fitted and no sales are read."""
+    _require(7 <= horizon_days <= 365, "horizon_days must be 7 to 365")
+    _require(model in MODELS, f"model must be one of {sorted(MODELS)}")
+    return forecast_jobs.serve(store.get(name, as_of, number), horizon_days, MODELS[model], sku_id, region, weights, include_ci)
+
+
+def serve_response(store: ModelStore, horizon_days: int = 90, model: str = "ensemble", as_of=None, name: str = "forecast", **options) -> DataFrame:
+    """:func:`serve_forecast` as nested records with the errors of the member returned."""
+    rows = serve_forecast(store, horizon_days=horizon_days, model=model, as_of=as_of, name=name, **options)
+    return forecast_jobs.respond(store.get(name, as_of, options.get("number")), rows, MODELS[model])
+
+
 def restock_plan(tables: RetailTables, region: str | None = None, category: str | None = None, priority: str | None = None,
                  limit: int = 50, service_level: float = 0.95) -> DataFrame:
     _require(priority is None or priority in PRIORITIES, f"priority must be one of {PRIORITIES}")
