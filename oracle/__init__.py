@@ -24,11 +24,13 @@ def statement(name: str) -> str:
     """The statement of one query with the common tables it refers to in front."""
     body = STATEMENTS[name].strip()
     ctes = [f"{n} AS ({TABLES[n].strip()})" for n in _needed(body)]
+    if not ctes:
+        return body
     if body[:5].upper() == "WITH ":
         body = ", " + body[5:]
     else:
         body = "\n" + body
-    return "WITH " + ",\n".join(ctes) + body if ctes else body.lstrip(", \n")
+    return "WITH " + ",\n".join(ctes) + body
 
 
 def all_statements() -> dict[str, str]:

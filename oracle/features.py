@@ -33,8 +33,8 @@ _RECENT = _recent()
 _EARLIER = "(SELECT d-5 FROM as_of_day)"
 DENSE = """dense AS MATERIALIZED (SELECT c.sku_id, c.region, c.date, coalesce(b.sales_qty,0) AS sales_qty,
   month(c.date)*100+day(c.date) IN (101,126,815,1002,1225) AS is_holiday, coalesce(b.is_promotion,false) AS is_promotion
-  FROM (SELECT sku_id, region, CAST(unnest(generate_series(CAST(min(date) AS TIMESTAMP), CAST(max(date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date
-        FROM base GROUP BY 1,2) c
+  FROM (SELECT sku_id, region, CAST(first + CAST(k AS INT) AS DATE) AS date FROM (SELECT sku_id, region, min(date) AS first, max(date)-min(date) AS span
+        FROM base GROUP BY 1,2) JOIN (SELECT unnest(generate_series(0,400)) AS k) ON k<=span) c
   LEFT JOIN base b ON b.sku_id=c.sku_id AND b.region=c.region AND b.date=c.date)"""
 
 FEATURES = {

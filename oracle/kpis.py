@@ -100,4 +100,18 @@ WITH rd AS (SELECT region, date, avg(mape) AS m, sum(stockout_events) AS so FROM
 SELECT region, round(avg(100-m),6) AS forecast_accuracy_pct, CAST(sum(so) AS BIGINT) AS stockout_events,
   avg(100-m)>90 AS good_accuracy, sum(so)>30 AS many_stockouts FROM rd GROUP BY 1""",
     "return_rates": "SELECT sku_id, round(sum(returns_qty)/CAST(sum(sales_qty) AS DOUBLE)*100,6) AS return_rate_pct FROM sales GROUP BY 1",
+    "views_incremental": "SELECT * FROM region_daily",
+    "months_incremental": """
+SELECT region, strftime(date,'%Y-%m') AS part_month, count(*) AS rows, CAST(sum(actual_sales) AS BIGINT) AS total_sales, round(sum(predicted_demand),6) AS total_predicted_demand,
+  round(avg(mape),6) AS avg_mape, CAST(sum(stockout_events) AS BIGINT) AS stockout_events, CAST(sum(overstock_events) AS BIGINT) AS overstock_events FROM kpi GROUP BY 1,2""",
+    "ingested_pos": """
+WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, CAST(l_shipdate AS DATE) AS date, l_tax=0.08e0 AS bad, CAST(l_quantity AS BIGINT) AS q,
+  CASE WHEN l_returnflag='R' THEN CAST(l_quantity AS BIGINT) ELSE 0 END AS b
+  FROM lineitem JOIN part ON l_partkey=p_partkey JOIN orders ON l_orderkey=o_orderkey JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey)
+SELECT date, count(*) FILTER (NOT bad) AS lines, CAST(coalesce(sum(q) FILTER (NOT bad),0) AS BIGINT) AS sales_qty, CAST(coalesce(sum(b) FILTER (NOT bad),0) AS BIGINT) AS returns_qty,
+  count(*) FILTER (bad) AS refused FROM l GROUP BY 1""",
+    "ingested_competitor": """
+WITH p AS (SELECT p_brand, r_name, CAST(l_shipdate AS DATE) AS date, max(floor(l_extendedprice*100+0.5e0))/100 AS price
+  FROM lineitem JOIN part ON l_partkey=p_partkey JOIN orders ON l_orderkey=o_orderkey JOIN customer ON o_custkey=c_custkey JOIN nation ON c_nationkey=n_nationkey JOIN region ON n_regionkey=r_regionkey GROUP BY 1,2,3)
+SELECT r_name AS competitor, count(*) AS prices, round(min(price),2) AS lowest, round(max(price),2) AS highest FROM p GROUP BY 1""",
 }

@@ -17,6 +17,11 @@ SELECT sku_id, region, date, sales_qty, category, unit_cost_inr, round(sales_qty
 h AS (SELECT sku_id, region, avg(sales_qty) AS m, stddev_samp(sales_qty) AS s FROM dy WHERE date < (SELECT max(date) FROM dy)-6 GROUP BY 1,2),
 z AS (SELECT sku_id, region, date, CAST(sales_qty AS DOUBLE) AS actual_value, coalesce(1-exp(-((sales_qty-m)/nullif(s,0))*((sales_qty-m)/nullif(s,0))/2),0) AS sc FROM dy JOIN h USING (sku_id, region) WHERE date >= (SELECT max(date) FROM dy)-6)
 SELECT sku_id, region, date, actual_value, round(sc,6) AS anomaly_score FROM z WHERE sc>0.9e0""",
+    "stream_state_alerts": "WITH " + _EV + """,
+b AS (SELECT sku_id, region, date, sales_qty, avg(sales_qty) OVER w AS m, stddev_samp(sales_qty) OVER w AS s, count(*) OVER w AS n FROM dy
+  WINDOW w AS (PARTITION BY sku_id, region ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+z AS (SELECT *, 1-exp(-((sales_qty-m)/s)*((sales_qty-m)/s)/2) AS sc FROM b WHERE n>=3 AND s>0)
+SELECT sku_id, region, date, CAST(sales_qty AS DOUBLE) AS actual_value, round(m,6) AS mean_qty, round(s,6) AS std_qty, round(sc,6) AS anomaly_score FROM z WHERE sc>0.9e0""",
     "stream_forecast_monitoring": """
 WITH e AS (SELECT model_name AS model, target_date, abs(sales_qty-predicted_qty)/nullif(CAST(sales_qty AS DOUBLE),0)*100 AS mape FROM forecasts f
   JOIN sales s ON s.sku_id=f.sku_id AND s.region=f.region AND s.date=f.target_date),

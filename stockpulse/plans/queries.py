@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions import scalar as fx
-from ..operators import (anomaly, boosting, causal, clustering, features, forecasting, kpis, monitoring, promotions, quality,
+from ..operators import (anomaly, boosting, causal, clustering, conformal, features, forecasting, kpis, monitoring, promotions, quality,
                          restock, search)
 from ..session import scratch_path, stage
-from ..sources import retail, sinks
-from ..streaming import aggregates, events
+from ..sources import ingest, retail, sinks
+from ..sources.model_store import ModelStore
+from ..streaming import aggregates, events, stateful
 from ..streaming.sinks import current_stock, drain, stock_log
-from . import api, jobs
+from . import api, forecast_jobs, incremental, jobs
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -122,6 +123,79 @@ def inventory_drop(spark, root):
     return rounded(features.inventory_drop(restock.inventory_by_region(t.inventory)))
 
 
+# ---- feeds and incremental views -------------------------------------------------------------------
+
+#: Lines with this tax are delivered with a quantity of -1: a feed has rows to refuse.
+REFUSED_TAX = 0.08
+
+
+def _pos_lines(spark, root) -> DataFrame:
+    """Order lines as the till would deliver them, one row a line."""
+    lines = retail.lines(spark, root)
+    qty = F.when(F.col("l_tax") == REFUSED_TAX, F.lit(-1)).otherwise(F.col("l_quantity").cast("long"))
+    return lines.select(F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("line_id"), "sku_id", "region", F.col("l_shipdate").cast("date").alias("date"),
+                        qty.alias("sales_qty"), F.col("l_extendedprice").cast("decimal(14,2)").alias("revenue_inr"),
+                        F.when(F.col("l_returnflag") == "R", F.col("l_quantity").cast("long")).otherwise(0).alias("returns_qty"))
+
+
+@register
+def ingested_pos(spark, root):
+    """Two deliveries of till files, the second with everything of its year again: accepted lines by day, refused ones aside."""
+    rows = stage(_pos_lines(spark, root), "pos-lines")
+    feed, target = scratch_path(spark, "pos-feed"), scratch_path(spark, "pos")
+    year = F.lit(rows.agg(F.max(F.year("date"))).first()[0])
+    for part in (rows.filter(F.year("date") <= year), rows.filter(F.year("date") == year)):
+        part.write.mode("append").option("header", True).csv(feed)
+        ingest.ingest(spark, ingest.POS, feed, target)
+    taken = ingest.read_feed(spark, ingest.POS, target).groupBy("date").agg(F.count("*").alias("lines"), F.sum("sales_qty").alias("sales_qty"), F.sum("returns_qty").alias("returns_qty"))
+    refused = ingest.read_refused(spark, target).select(F.to_date(F.get_json_object("row", "$.date")).alias("date"), F.get_json_object("row", "$.line_id").alias("line_id"))
+    refused = refused.distinct().groupBy("date").agg(F.count("*").alias("refused"))
+    return taken.join(refused, "date", "full").select("date", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("lines", "sales_qty", "returns_qty", "refused")])
+
+
+@register
+def ingested_competitor(spark, root):
+    """Competitor prices of every order line, delivered by month in one file each; newest price of a key."""
+    lines = retail.lines(spark, root)
+    prices = lines.groupBy("sku_id", F.col("region").alias("competitor"), F.col("l_shipdate").cast("date").alias("date")).agg(
+        (F.max(F.floor(F.col("l_extendedprice") * 100 + 0.5)) / 100).cast("decimal(10,2)").alias("price_inr"))
+    feed, target = scratch_path(spark, "competitor-feed"), scratch_path(spark, "competitor")
+    prices.write.json(feed)
+    ingest.ingest(spark, ingest.COMPETITOR, feed, target, kind="json", max_files=4)
+    stored = ingest.read_feed(spark, ingest.COMPETITOR, target)
+    return rounded(stored.groupBy("competitor").agg(F.count("*").alias("prices"), F.min("price_inr").cast("double").alias("lowest"), F.max("price_inr").cast("double").alias("highest")), 2)
+
+
+def _refreshed_views(spark, root) -> str:
+    """Views over all but one week in sixty, then those weeks as a late load."""
+    t = retail.load(spark, root)
+    path = scratch_path(spark, "incremental")
+    late = F.datediff(F.lit(t.as_of), "date") % 420 < 7
+    for number, chosen in enumerate((~late, late)):
+        incremental.record_load(t.sales.filter(chosen).select("date"), path, number)
+        there = t.sales if number else t.sales.filter(chosen)
+
+        def sources(days, there=there):
+            pick = lambda df, c: df.join(days.select(F.col("date").alias(c)), c, "left_semi")
+            return pick(there, "date"), pick(t.forecasts, "target_date"), pick(t.inventory, "snapshot_date")
+
+        incremental.refresh(spark, path, sources)
+    return path
+
+
+@register
+def views_incremental(spark, root):
+    """The regional view after a late load, equal to a full rebuild."""
+    return rounded(incremental.regional_view(spark, _refreshed_views(spark, root)), 8)
+
+
+@register
+def months_incremental(spark, root):
+    """Monthly sums kept from stored regional days."""
+    months = spark.read.parquet(f"{_refreshed_views(spark, root)}/regional_months")
+    return rounded(months.withColumn(fx.MONTH_PARTITION, F.col(fx.MONTH_PARTITION).cast("string")), 6)
+
+
 # ---- indicators ----------------------------------------------------------------------------------
 
 def _kpis(t, days: int | None = None) -> DataFrame:
@@ -501,6 +575,50 @@ def gbt_forecast(spark, root):
     return boosting.gbt_forecast(model, t.sales, HORIZON)
 
 
+@register
+def conformal_widths(spark, root):
+    """Calibrated half-widths of the closed-form members by week ahead, from the last 90 days."""
+    t = retail.load(spark, root)
+    cutoff = t.as_of - dt.timedelta(days=90)
+    held = stage(forecast_jobs.holdout(t.sales, t.as_of, 90, boosted=False), "conformal-holdout")
+    levels = conformal.series_level(t.sales.filter(F.col("date") <= F.lit(cutoff)))
+    return rounded(conformal.calibrate(held, levels, cutoff, ["seasonal", "lookback"]))
+
+
+@register
+def backtest_members(spark, root):
+    """Walk-forward errors of the closed-form members and of their ensemble."""
+    t = retail.load(spark, root)
+    return rounded(forecast_jobs.backtest(t.sales, t.as_of, 3, HORIZON, boosted=False), 4)
+
+
+@register
+def backtest_boosted(spark, root):
+    """The newest fold with the boosted member, full settings, and the ensemble of all three."""
+    t = retail.load(spark, root)
+    return rounded(forecast_jobs.backtest(t.sales, t.as_of, 1, HORIZON), 4)
+
+
+@register
+def trained_model_errors(spark, root):
+    """The training job of each closed-form model: errors on its last 28 days."""
+    t = retail.load(spark, root)
+    errors = [jobs.train_all(t, m) for m in ("seasonal", "lookback", "naive")]
+    return rounded(errors[0].unionByName(errors[1]).unionByName(errors[2]), 4)
+
+
+@register
+def served_forecast(spark, root):
+    """Two published versions; the one that had seen nothing of the last four weeks is asked for and served from its tables."""
+    t = retail.load(spark, root)
+    store = ModelStore(spark, scratch_path(spark, "models"))
+    for back in (HORIZON, 0):
+        upto = t.as_of - dt.timedelta(days=back)
+        forecast_jobs.train(t.sales.filter(F.col("date") <= F.lit(upto)), upto, store, holdout_days=HORIZON, boosted=False)
+    served = api.serve_forecast(store, horizon_days=HORIZON, include_ci=False, as_of=t.as_of - dt.timedelta(days=1))
+    return served.drop("lower_bound", "upper_bound")
+
+
 # ---- clusters and anomalies ----------------------------------------------------------------------
 
 def _matrix(t, **options) -> DataFrame:
@@ -634,6 +752,14 @@ def stream_alerts(spark, root):
     return rounded(drain(aggregates.alerts(days, history), "alerts", close))
 
 
+@register
+def stream_state_alerts(spark, root):
+    """Every finished day against the days of its series before it, from state that the stream keeps."""
+    retail.load(spark, root)
+    stream, close = _sales_stream(spark, root)
+    return rounded(drain(stateful.stateful_alerts(stream, least_days=3), "state-alerts", close))
+
+
 @register
 def stream_forecast_monitoring(spark, root):
     t = retail.load(spark, root)

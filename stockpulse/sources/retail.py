@@ -22,6 +22,7 @@ from ..session import scratch_path
 
 CATEGORIES = ["Electronics", "Apparel", "Grocery", "Home & Kitchen", "Sports"]
 HISTORY_DAYS = 400
+LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_shipdate"]
 #: Campaign rows covering every combination of "null means all".
 PROMOTION_ROWS = [
     ("P1", "Everything week", "discount", "10.00", "1996-03-01", "1996-03-07", None, None),
@@ -51,18 +52,13 @@ def _sku_lines(spark: SparkSession, root: str, grain: str, *columns: str) -> Dat
     """Order lines with their sku_id. Brand grain joins the product table, part grain needs no join."""
     lines = _table(spark, root, "lineitem").select("l_partkey", *columns)
     if grain == "part":
-        return lines.withColumn("sku_id", F.concat(F.lit("SKU-"), "l_partkey")).drop("l_partkey")
+        return lines.withColumn("sku_id", F.concat(F.lit("SKU-"), "l_partkey"))
     brands = _table(spark, root, "part").select("p_partkey", F.col("p_brand").alias("sku_id"))
-    return lines.join(brands, F.col("l_partkey") == F.col("p_partkey")).drop("l_partkey", "p_partkey")
+    return lines.join(brands, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
 
 
-def daily_sales(spark: SparkSession, root: str, grain: str = "brand") -> DataFrame:
-    """Order lines to one row per sku x region x date.
-
-    Shuffles: one per large equi-join key (part, order, customer) and one for the grouping, which
-    combines map-side first. Hot join keys are split by AQE's skew join; a hot group shrinks to one
-    partial row per task before it is shuffled.
-    """
+def lines(spark: SparkSession, root: str, grain: str = "brand") -> DataFrame:
+    """Order lines with sku_id and region; columns that a caller does not use are pruned from the scans."""
     order_region = (
         _table(spark, root, "orders").select("o_orderkey", "o_custkey")
         .join(_table(spark, root, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
@@ -70,12 +66,22 @@ def daily_sales(spark: SparkSession, root: str, grain: str = "brand") -> DataFra
         .join(region_names(spark, root), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("o_orderkey", "region")
     )
-    lines = _sku_lines(spark, root, grain, "l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
+    own = _sku_lines(spark, root, grain, *LINE_COLUMNS)
+    return own.join(order_region, F.col("l_orderkey") == F.col("o_orderkey"))
+
+
+def daily_sales(spark: SparkSession, root: str, grain: str = "brand") -> DataFrame:
+    """Order lines to one row per sku x region x date.
+
+    Shuffles: one per large equi-join key (part, order, customer) and one for the grouping, which
+    combines map-side first. Hot join keys are split by AQE's skew join; a hot group shrinks to one
+    partial row per task before it is shuffled.
+    """
+    joined = lines(spark, root, grain)
     qty = F.col("l_quantity").cast("long")
     paise = F.floor(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) * 100 + 0.5)
     return (
-        lines.join(order_region, F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("sku_id", "region", F.col("l_shipdate").cast("date").alias("date"))
+        joined.groupBy("sku_id", "region", F.col("l_shipdate").cast("date").alias("date"))
         .agg(
             F.sum(qty).alias("sales_qty"),
             F.sum(paise).alias("paise"),
