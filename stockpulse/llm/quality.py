@@ -46,8 +46,8 @@ _LETTER[97:123] = _LETTER[65:91] = _LETTER[128:] = True
 def features(text: str | None) -> list[float]:
     """Shares and lengths over the whole text; an empty text is all zeros."""
     data = (text or "").encode()
-    words, pairs, ends, marked, capital, shouted, long, chars, n = Counter(), 0, Counter(), 0, 0, 0, 0, 0, 0
-    seen, last, start = set(), b"", 0
+    words, followed, ends, marked, capital, shouted, long, chars, n = Counter(), [], Counter(), 0, 0, 0, 0, 0, 0
+    last, start = b"", 0
     while start < len(data):  # a piece at a time, cut at a line or space where there is one
         end = start + PIECE
         if end < len(data):
@@ -56,10 +56,8 @@ def features(text: str | None) -> list[float]:
         own = data[start:end].split()
         start = end
         words.update(own)
-        following = list(zip([last, *own], own)) if last else list(zip(own, own[1:]))
-        fresh = set(following)
-        pairs += len(following) - len(fresh - seen)
-        seen = fresh  # repeats are looked for in this piece and the one before
+        following = zip([last, *own], own) if last else zip(own, own[1:])
+        followed.append(np.fromiter((hash(p) for p in following), np.int64))
         n += len(own)
         last = own[-1] if own else last
     for w, k in words.items():
@@ -70,6 +68,7 @@ def features(text: str | None) -> list[float]:
         capital += k * w[:1].isupper()
         shouted += k * (len(w) > 2 and w.isupper())
         long += k * (len(w) > 15)
+    pairs = sum(map(len, followed)) - len(np.unique(np.concatenate([*followed, np.empty(0, np.int64)])))  # over the whole text
     n, size = max(n, 1), max(len(data), 1)
     counts = np.bincount(np.frombuffer(data, np.uint8), minlength=256)
     share = lambda which: float(counts[which].sum()) / size
