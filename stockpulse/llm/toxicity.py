@@ -157,7 +157,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             xs = [_vector(t.as_py(), at) for t in b["text"]]
             yield pa.RecordBatch.from_arrays([b["label"], pa.array([i for i, _ in xs], pa.list_(pa.int32())), pa.array([v for _, v in xs], pa.list_(pa.float64()))], ["label", "i", "v"])
 
-    rows = sample.mapInArrow(vectors, "label int, i array<int>, v array<double>").orderBy("label", "i", "v").collect()  # about train_rows sparse rows
+    rows = sample.mapInArrow(vectors, "label int, i array<int>, v array<double>").collect()  # about train_rows sparse rows
+    rows.sort(key=lambda r: (r["label"], r["i"], r["v"]))  # the same fit whatever order tasks end in
     x, toxic = [(r["i"], r["v"]) for r in rows], np.array([r["label"] for r in rows]) > 0
     if toxic.all() or not toxic.any():
         return None
