@@ -7,11 +7,14 @@
 3. The entries (one a text) go to an extendible-hash index. Its directory is doubled until each slot
    points to a bucket of at most ``capacity`` entries; a bucket that fits earlier keeps its smaller
    local depth and is shared by several slots. Owner tasks write whole buckets, a hash range each.
-4. Rows look up their entry; the best row of each entry stays.
+4. A row finds its entry by the index: the first bits of its hash name a slot, the slot a bucket, and in the
+   bucket it meets the entries of its hash; the best row of each entry stays.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -19,11 +22,18 @@ from pyspark.sql.window import Window
 from ..session import stage
 from .common import keep_rows, numbered, row_key, without_spaces
 
-#: Entries of a bucket, which one task writes, and the bits of the hash that the directory may use.
-CAPACITY, MAX_DEPTH = 100_000, 14
+#: Entries of a bucket, which one task writes.
+CAPACITY = 100_000
+#: Doublings beyond the even split: hashes are spread evenly, so a bucket that is over its capacity fits long before.
+SPARE_DEPTH = 6
+
+
+def depth_for(entries: int, capacity: int) -> int:
+    """Bits of the hash that the directory may use: they grow with the entries."""
+    return min(40, max(0, math.ceil(math.log2(max(entries, 1) / capacity))) + SPARE_DEPTH)
 
 
-def directory(entries: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) -> DataFrame:
+def directory(entries: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     """One row for each slot in use: slot, depth (local depth of its bucket), bucket.
 
     Depth d reads the first d bits of the hash. A slot's bucket is the shallowest one with at most
@@ -40,8 +50,9 @@ def directory(entries: DataFrame, capacity: int, max_depth: int = MAX_DEPTH) ->
             .select("slot", "b.depth", "b.bucket"))
 
 
-def build_index(hashed: DataFrame, capacity: int) -> DataFrame:
-    """Entries (key, chain, text_sha256, group_size, longest), written by bucket to the shared folder.
+def build_index(hashed: DataFrame, capacity: int) -> tuple[DataFrame, DataFrame, int]:
+    """(index, slots, depth): entries (depth, bucket, key, chain, text_sha256, group_size, longest), written by bucket
+    to the shared folder, and the directory that leads to them.
 
     ``hashed`` has row, key, norm and n_points. ``chain`` numbers the texts of one hash from 0.
     """
@@ -49,10 +60,15 @@ def build_index(hashed: DataFrame, capacity: int) -> DataFrame:
                                               F.min("_row").alias("head"))
     entries = stage(texts.select("key", "group_size", "longest", "head", F.sha2("norm", 256).alias("text_sha256")), "entries")
     chained = entries.withColumn("chain", F.row_number().over(Window.partitionBy("key").orderBy("head")) - 1)
-    slots = directory(entries, capacity)
-    slot = F.shiftrightunsigned("key", 64 - MAX_DEPTH)
-    owned = chained.withColumn("slot", slot).join(slots, "slot").drop("slot")
-    return stage(owned.repartition("depth", "bucket").sortWithinPartitions("depth", "bucket", "key"), "hash-index")
+    depth = depth_for(entries.count(), capacity)
+    slots = stage(directory(entries, capacity, depth), "directory")
+    owned = with_bucket(chained, slots, depth)
+    return stage(owned.repartition("depth", "bucket").sortWithinPartitions("depth", "bucket", "key"), "hash-index"), slots, depth
+
+
+def with_bucket(rows: DataFrame, slots: DataFrame, depth: int) -> DataFrame:
+    """Rows with the bucket (depth, bucket) that the slot of their key points to."""
+    return rows.withColumn("slot", F.shiftrightunsigned("key", 64 - depth)).join(slots, "slot").drop("slot")
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -70,8 +86,8 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     key = full if hash_bits == 64 else F.shiftleft(F.shiftrightunsigned(full, 64 - hash_bits), 64 - hash_bits)
     hashed = rows.select("_row", "doc_id", norm.alias("norm"), F.char_length("text").alias("n_points")).withColumn("key", key)
     slim = stage(hashed.select("_row", "doc_id", "n_points", "key", F.sha2("norm", 256).alias("text_sha256")), "rows")
-    index = build_index(hashed, capacity)
-    found = slim.join(index.select("key", "chain", "text_sha256", "group_size", "longest"), ["key", "text_sha256"])
+    index, slots, depth = build_index(hashed, capacity)
+    found = with_bucket(slim, slots, depth).join(index.drop("head"), ["depth", "bucket", "key", "text_sha256"])
     # written first: a join of two plain shuffles is one whose hot partitions Spark can split
     best = stage(found.filter(F.col("n_points") == F.col("longest")).groupBy("key", "chain")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("best"))

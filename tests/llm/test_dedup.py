@@ -43,13 +43,14 @@ def test_exact_groups(spark, bits, capacity):
 
 def test_directory_splits_only_full_buckets(spark):
     keys = spark.createDataFrame([(i << 60,) for i in range(8)] * 1 + [((i << 52),) for i in range(40)], "key long")
-    slots = exact_dedup.directory(keys, capacity=10).collect()
+    depth = exact_dedup.depth_for(keys.count(), 10) + 8
+    slots = exact_dedup.directory(keys, 10, depth).collect()
     sizes = Counter()
     of = {r.slot: (r.depth, r.bucket) for r in slots}
     for r in keys.collect():
-        sizes[of[(r.key % (1 << 64)) >> (64 - exact_dedup.MAX_DEPTH)]] += 1
+        sizes[of[(r.key % (1 << 64)) >> (64 - depth)]] += 1
     assert max(sizes.values()) <= 10
-    assert all(bucket == slot >> (exact_dedup.MAX_DEPTH - depth) for slot, (depth, bucket) in of.items())
+    assert all(bucket == slot >> (depth - d) for slot, (d, bucket) in of.items())
     assert len({d for d, _ in of.values()}) > 1
 
 
