@@ -37,6 +37,11 @@ def rounded(df: DataFrame, digits: int = 6, *only: str) -> DataFrame:
     return df.withColumns({n: F.round(F.col(n), digits) + F.lit(0.0) for n in names}) if names else df
 
 
+def _history_days(t) -> int:
+    """Days from the first to the newest day of the fact."""
+    return (t.as_of - t.sales.agg(F.min("date")).first()[0]).days
+
+
 def _promo_free(df: DataFrame) -> DataFrame:
     return df.drop("promo_id")
 
@@ -639,7 +644,8 @@ def sku_feature_matrix(spark, root):
 @register
 def sku_feature_matrix_part(spark, root):
     """Feature matrix at product grain: as many SKUs as there are parts."""
-    return _rounded_matrix(_matrix(retail.load(spark, root, grain="part"), days=3650, min_rows=10))
+    t = retail.load(spark, root, grain="part")
+    return _rounded_matrix(_matrix(t, days=_history_days(t), min_rows=10))
 
 
 @register
@@ -668,14 +674,15 @@ def sku_clusters(spark, root):
 
 @register
 def sku_clusters_part(spark, root):
-    matrix = _matrix(retail.load(spark, root, grain="part"), days=3650, min_rows=10)
+    t = retail.load(spark, root, grain="part")
+    matrix = _matrix(t, days=_history_days(t), min_rows=10)
     return clustering.sku_clusters(matrix, 4, ["velocity", "margin", "volume", "seasonality"])
 
 
 @register
 def match_controls(spark, root):
     t = retail.load(spark, root, grain="part")
-    clustered = clustering.cluster_skus(_matrix(t, days=3650, min_rows=10), 4)
+    clustered = clustering.cluster_skus(_matrix(t, days=_history_days(t), min_rows=10), 4)
     promoted = t.sales.groupBy("sku_id").agg(F.avg(F.col("is_promotion").cast("double")).alias("share")).filter("share > 0.25")
     return causal.match_controls(stage(clustered, "clustered"), promoted)
 
@@ -698,11 +705,19 @@ def detect_anomalies(spark, root):
 @register
 def attribute_spikes(spark, root):
     t = retail.load(spark, root)
-    full = features.build_features(t.sales, t.weather, t.competitor, t.as_of, lookback=3650)
+    full = features.build_features(t.sales, t.weather, t.competitor, t.as_of, lookback=_history_days(t))
     keys = ["sku_id", "region", "date"]
     return causal.attribute_spikes(full, features.two_sigma_flags(t.sales).filter("outside"), keys)
 
 
+@register
+def attribute_spikes_boosted(spark, root):
+    """Every spike explained by the trees of a boosted demand model, over the whole history."""
+    t = retail.load(spark, root)
+    full = features.build_features(t.sales, t.weather, t.competitor, t.as_of, lookback=_history_days(t))
+    return causal.attribute_spikes_boosted(full, features.two_sigma_flags(t.sales).filter("outside"), ["sku_id", "region", "date"])
+
+
 # ---- streams -------------------------------------------------------------------------------------
 
 def _sales_stream(spark, root):
@@ -807,4 +822,4 @@ def event_json(spark, root):
 def forecast_ensemble(spark, root):
     """Seasonal, boosted and lookback members combined, every series."""
     t = retail.load(spark, root)
-    return api.forecast(t, horizon_days=HORIZON, days_back=3650)
+    return api.forecast(t, horizon_days=HORIZON, days_back=_history_days(t))
