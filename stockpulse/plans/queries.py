@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import labels
 from ..functions import scalar as fx
 from ..operators import (anomaly, boosting, causal, clustering, conformal, features, forecasting, kpis, monitoring, promotions, quality,
-                         restock, search)
+                         restock, search, simplex)
 from ..session import scratch_path, stage
 from ..sources import ingest, retail, sinks
 from ..sources.model_store import ModelStore
@@ -573,6 +573,14 @@ def tune_weights(spark, root):
     return rounded(forecasting.tune_weights(scored), 4)
 
 
+@register
+def fitted_weights(spark, root):
+    """Weights of the closed-form members with the lowest squared error of each category, on the last 90 days."""
+    t = retail.load(spark, root)
+    scored = forecasting.holdout_members(t.sales, t.as_of, 90).join(t.products.select("sku_id", "category"), "sku_id")
+    return rounded(simplex.fit_weights(scored), 6)
+
+
 @register
 def gbt_forecast(spark, root):
     t = retail.load(spark, root)

@@ -10,7 +10,7 @@ from oracle import all_statements
 from stockpulse.plans.queries import REGISTRY
 
 #: Iterative fits and random forests: no statement, checked by property tests.
-ROWS_ONLY = {"gbt_forecast", "backtest_boosted", "attribute_spikes_boosted", "forecast_ensemble", "sku_clusters", "sku_clusters_part", "match_controls", "detect_anomalies",
+ROWS_ONLY = {"gbt_forecast", "fitted_weights", "backtest_boosted", "attribute_spikes_boosted", "forecast_ensemble", "sku_clusters", "sku_clusters_part", "match_controls", "detect_anomalies",
              "attribute_spikes"}
 QUERIES, STATEMENTS = REGISTRY, all_statements()
 
@@ -44,7 +44,7 @@ def test_rows_only_queries_run(spark, name):
     rows = QUERIES[name](spark, SF).collect()
     # at this size no series has the 30 rows in 90 days that clusters of brands need; test_models has rows for them
     assert name in ("match_controls", "attribute_spikes", "attribute_spikes_boosted", "detect_anomalies", "sku_clusters") or len(rows) > 0
-    keys = [k for k in ("sku_id", "region", "date", "fold", "member") if rows and k in rows[0].asDict()]
+    keys = [k for k in ("sku_id", "region", "date", "fold", "member", "category") if rows and k in rows[0].asDict()]
     assert len({tuple(r[k] for k in keys) for r in rows}) == len(rows)
 
 

@@ -13,7 +13,7 @@ from stockpulse.sources import retail
 
 #: Queries that run jobs while they are built, so that building them again only for the plan is slow.
 EAGER = {"gbt_forecast", "forecast_ensemble", "sku_clusters", "sku_clusters_part", "match_controls", "detect_anomalies",
-         "attribute_spikes", "attribute_spikes_boosted", "backtest_boosted", "backtest_members", "trained_model_errors", "served_forecast",
+         "attribute_spikes", "attribute_spikes_boosted", "fitted_weights", "backtest_boosted", "backtest_members", "trained_model_errors", "served_forecast",
          "months_incremental"}
 
 
