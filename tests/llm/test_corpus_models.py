@@ -143,3 +143,35 @@ def test_languages_of_edge_cases(spark):
     assert {r.lang_pred for r in language_id.identify(docs, *language_id.train(none)).collect()} == {"und"}
     with pytest.raises(Exception, match="more than 1 languages"):
         language_id.train(docs, max_languages=1)
+
+
+def strength_by_hand(sites):
+    """sites: (n, good, parent's rate) each; pseudo-documents of the parent by the method of moments."""
+    total = sum(n for n, _, _ in sites)
+    between = sum(n * (g / n - p) ** 2 for n, g, p in sites) / total
+    noise = sum(p * (1 - p) for _, _, p in sites) / total
+    level = sum(n * p * (1 - p) for n, _, p in sites) / total
+    return max(1.0, min(1e4, level / max(between - noise, level * 1e-4) - 1))
+
+
+def test_quality_posteriors_by_hand(spark):
+    """The whole query, from each document's own evidence up to the decision."""
+    import __spark_entry__ as contract
+
+    rows = contract.queries()["op1_quality_classifier"](spark, "/root/testdata/sf0.001").collect()
+    paths, hosts = {}, {}
+    for r in rows:
+        for table, key in ((paths, (r.host, r.path)), (hosts, r.host)):
+            n, good = table.get(key, (0, 0.0))
+            table[key] = (n + 1, good + r.own)
+    overall = sum(r.own for r in rows) / len(rows)
+    s = strength_by_hand([(n, g, overall) for n, g in hosts.values()])
+    host_rate = {h: (g + s * overall) / (n + s) for h, (n, g) in hosts.items()}
+    s = strength_by_hand([(n, g, host_rate[h]) for (h, _), (n, g) in paths.items()])
+    path_rate = {k: (g + s * host_rate[k[0]]) / (n + s) for k, (n, g) in paths.items()}
+    logit = lambda p: math.log(max(p, 1e-6) / max(1 - p, 1e-6))
+    assert len(rows) == 200 and len(hosts) > 5
+    for r in rows:
+        assert r.host_rate == pytest.approx(host_rate[r.host]) and r.path_rate == pytest.approx(path_rate[r.host, r.path])
+        z = logit(r.own) + logit(r.path_rate) - logit(overall)
+        assert r.quality == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9) and r.keep == (r.quality >= 0.5)
