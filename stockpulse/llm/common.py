@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from ..session import stage
 
@@ -25,17 +26,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 ROW_KEY = "_stockpulse_row"
 
 
+def _plain_scan(docs: DataFrame) -> bool:
+    """True for Parquet files as read, with nothing in between that could repeat or mix rows."""
+    plan = docs._jdf.queryExecution().analyzed()
+    return plan.getClass().getSimpleName() == "LogicalRelation" and "parquet" in plan.relation().toString().lower()
+
+
 def numbered(docs: DataFrame, *columns: Column) -> DataFrame:
-    """A copy of ``docs`` (or of ``columns`` of it) in the shared folder, with a row key stored beside each row.
+    """``docs`` (or ``columns`` of it) with a row key beside each row that is the same in every evaluation.
 
-    Rows that are alike in every column stay apart. The keys are given once and read from then on: places in a
-    scan depend on the cores at hand, so a second numbering could give other keys. ``ROW_KEY`` is not a name for
-    columns of one's own; a table that has it is taken as numbered already.
+    Rows that are alike in every column stay apart. A row of Parquet files is known by its file, whose number is
+    taken from a written list, and its place in it. Any other table is numbered once into a copy in the shared folder:
+    places in a scan depend on the cores at hand, so a second numbering could give other keys. ``ROW_KEY`` is not a
+    name for columns of one's own; a table that has it is taken as numbered already.
     """
     if ROW_KEY in docs.columns:
         return docs
-    chosen = docs.select(*columns) if columns else docs
-    return stage(chosen.withColumn(ROW_KEY, F.monotonically_increasing_id()), "numbered")
+    chosen = list(columns) or [F.col(f"`{c}`") for c in docs.columns]
+    if not _plain_scan(docs):
+        return stage(docs.select(*chosen).withColumn(ROW_KEY, F.monotonically_increasing_id()), "numbered")
+    path, place = F.col("_metadata.file_path").alias(f"{ROW_KEY}_file"), F.col("_metadata.row_index").alias(f"{ROW_KEY}_place")
+    files = docs.select(path).distinct().withColumn(ROW_KEY, F.row_number().over(Window.orderBy(f"{ROW_KEY}_file")).cast("long"))
+    # one row a file: Spark's own list of these files, with their sizes, is on the driver too
+    keyed = docs.select(*chosen, path, place).join(F.broadcast(stage(files, "files")), f"{ROW_KEY}_file")
+    return keyed.withColumn(ROW_KEY, F.shiftleft(ROW_KEY, 40) + F.col(f"{ROW_KEY}_place")).drop(f"{ROW_KEY}_file", f"{ROW_KEY}_place")
 
 
 def row_key(docs: DataFrame) -> Column:

@@ -1,7 +1,7 @@
 """Exact Jaccard self-join of word n-gram sets by vertical partitioning.
 
 The global n-gram order is that of the unsigned 64-bit shingle hashes, cut into ``FRAGMENTS`` equal ranges;
-a document's set is stored as one column a fragment, so that each step reads the fragments it needs.
+a document's set is one column a fragment, so that each step stores and reads the fragments it needs.
 
 1. Equal sets become one node (128-bit code of the whole set).
 2. Fragment by fragment, each node's shingles that no other node left in the race has are counted and
@@ -28,14 +28,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import discard, stage
-from .common import row_key, shuffles_freed
+from .common import ROW_KEY, numbered, row_key, shuffles_freed
 from .components import components
 from .simhash_dedup import SEED, _hashes
 
 #: Words of a shingle, fragments of the order, rounds of central nodes; least similarity is FOUR_FIFTHS.
 SHINGLE, FRAGMENTS, ROUNDS = 5, 8, 1
-#: Fragments that one step looks at: the first two, in which most texts drop out, one by one.
-STEPS = ((0,), (1,), (2, 3), (4, 5), (6, 7))
+#: Fragments that one step looks at: first two, one by one, in which most texts drop out; the others of what is left.
+FIRST, LATER = ((0,), (1,)), ((2, 3, 4), (5, 6, 7))
 #: Similarity of 4/5: overlap >= 4/9 of both sizes together, size of the smaller >= 4/5 of the larger.
 FOUR_FIFTHS = (4, 5)
 #: Shingles of a record batch, about.
@@ -60,19 +60,20 @@ def needed(one: Column, other: Column) -> Column:
     return F.floor((both + sum(FOUR_FIFTHS) - 1) / sum(FOUR_FIFTHS)).cast("long")
 
 
-def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, sketch: Callable[[np.ndarray], int] | None = None) -> DataFrame:
-    """(_row, doc_id, code, size, f0 to f7): each row's different shingle hashes, a list for each fragment.
+def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE, sketch: Callable[[np.ndarray], int] | None = None,
+                  fragments=range(FRAGMENTS)) -> DataFrame:
+    """(_row, doc_id, code, size, f0, f1, ...): each row's different shingle hashes, a list for each of ``fragments``.
 
-    With ``sketch``, also fp, its value for the whole set.
+    Code and size are those of the whole set; with ``sketch``, so is fp, its value.
     """
     texts = docs.select(row_key(docs), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     cuts = np.array([(i << 64) // FRAGMENTS for i in range(1, FRAGMENTS)], np.uint64)
-    names = ["_row", "doc_id", "code", "size", *COLUMNS, *(["fp"] if sketch else [])]
+    names = ["_row", "doc_id", "code", "size", *(COLUMNS[f] for f in fragments), *(["fp"] if sketch else [])]
 
     def packed(rows, ids, codes, sets):
         edges = np.array([[0, *np.searchsorted(s, cuts), len(s)] for s in sets], np.int64)
         lists = []
-        for f in range(FRAGMENTS):
+        for f in fragments:
             offsets = np.concatenate([[0], np.cumsum(edges[:, f + 1] - edges[:, f])]).astype(np.int32)
             values = np.concatenate([s[a:b] for s, a, b in zip(sets, edges[:, f], edges[:, f + 1])])
             lists.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.view(np.int64))))
@@ -93,7 +94,7 @@ def fragment_sets(docs: DataFrame, id_col: str, text_col: str, k: int = SHINGLE,
             if held:
                 yield packed(*zip(*held))
 
-    lists = ", ".join(f"{c} array<long>" for c in COLUMNS)
+    lists = ", ".join(f"{COLUMNS[f]} array<long>" for f in fragments)
     return texts.mapInArrow(run, f"_row long, doc_id long, code binary, size long, {lists}" + (", fp long" if sketch else ""))
 
 
@@ -111,10 +112,9 @@ def open_sets(sets: DataFrame, alive: DataFrame) -> DataFrame:
     return steps[0].sparkSession.read.schema(steps[0].schema).parquet(*(s.staged_at for s in steps))
 
 
-def still_open(sets: DataFrame, heads: DataFrame) -> DataFrame:
-    """(node, size): nodes at most a fifth of whose shingles were found to be theirs alone."""
-    alive = stage(heads.select("node", "size", F.lit(0).cast("long").alias("alone")), "open-nodes")
-    for step in STEPS:
+def still_open(sets: DataFrame, alive: DataFrame, steps) -> DataFrame:
+    """The nodes of ``alive`` (node, size, alone), a written table, that ``steps`` leave: at most a fifth of their shingles is theirs alone."""
+    for step in steps:
         part = of_nodes(sets, alive, F.concat(*(F.col(COLUMNS[k]) for k in step)).alias("part"))
         held = part.select("node", F.explode("part").alias("shingle"))
         # one row a shingle after map-side combining, however many nodes hold it
@@ -122,7 +122,23 @@ def still_open(sets: DataFrame, heads: DataFrame) -> DataFrame:
         alone = owners.filter("n = 1").groupBy("node").agg(F.count("*").alias("more"))
         counted = alive.join(alone, "node", "left").select("node", "size", (F.col("alone") + F.coalesce("more", F.lit(0))).alias("alone"))
         alive = stage(counted.filter(F.col("alone") <= F.col("size") - least_of(F.col("size"))), "open-nodes")
-    return alive.select("node", "size")
+    return alive
+
+
+def open_nodes(docs: DataFrame, sets: DataFrame, heads: DataFrame, id_col: str, text_col: str, k: int = SHINGLE) -> tuple[DataFrame, DataFrame]:
+    """(alive, parts): the nodes that may have a partner, and (node, fragment, shingles) of them.
+
+    ``sets`` has the first fragments of all rows of the numbered table ``docs``; the sets of what these leave are made
+    from the texts again, so that no copy of all shingles is ever stored.
+    """
+    start = stage(heads.select("node", "size", F.lit(0).cast("long").alias("alone")), "open-nodes")
+    alive = still_open(sets, start, FIRST)
+    again = docs.join(alive.select(F.col("node").alias(ROW_KEY)).hint("merge"), ROW_KEY, "left_semi")
+    full = stage(fragment_sets(again, id_col, text_col, k), "open-fragment-sets")
+    alive = still_open(full, alive, LATER).select("node", "size")
+    parts = open_sets(full, alive)
+    discard(full)
+    return alive, parts
 
 
 def prefix_lists(parts: DataFrame, alive: DataFrame) -> DataFrame:
@@ -173,13 +189,11 @@ def _in_groups(lists: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame
     return entries, stage(largest.select("shingle", F.col("most.root").alias("most")), "open-lists")
 
 
-def links_of(sets: DataFrame, heads: DataFrame, rounds: int = ROUNDS, proposed: DataFrame | None = None) -> DataFrame:
+def links_of(alive: DataFrame, parts: DataFrame, rounds: int = ROUNDS, proposed: DataFrame | None = None) -> DataFrame:
     """(a, b): similar nodes, enough of them to connect every two that any links connect.
 
     ``proposed`` are pairs (a, b, size_a, size_b) from elsewhere to compare first; they only save comparisons.
     """
-    alive = still_open(sets, heads)
-    parts = open_sets(sets, alive)
     lists = stage(prefix_lists(parts, alive), "prefix-lists")
 
     head = F.max(F.struct("central", "node", "size", "room")).alias("head")
@@ -205,6 +219,13 @@ def links_of(sets: DataFrame, heads: DataFrame, rounds: int = ROUNDS, proposed:
     return links
 
 
+def numbered_texts(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, str, str]:
+    """``docs`` if it is numbered, else a numbered copy of its ids and texts; with the names of these columns."""
+    if ROW_KEY in docs.columns:
+        return docs, id_col, text_col
+    return numbered(docs, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", "text"
+
+
 def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE, rounds: int = ROUNDS) -> DataFrame:
     """One row per row of ``docs``: _row, doc_id, n_shingles, component_id.
 
@@ -215,12 +236,14 @@ def join_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     and equal sets are linked. Ids must be integers. Columns beyond id and text are not looked at.
     """
     with shuffles_freed(docs.sparkSession):
-        sets = stage(fragment_sets(docs, id_col, text_col, k), "fragment-sets")
+        docs, id_col, text_col = numbered_texts(docs, id_col, text_col)
+        sets = stage(fragment_sets(docs, id_col, text_col, k, fragments=(0, 1)), "fragment-sets")
         rows = stage(sets.select("_row", "doc_id", "code", "size"), "set-rows")
         found = rows.filter("size > 0")
         heads = stage(found.groupBy("code").agg(F.min("_row").alias("node"), F.first("size").alias("size"), F.min("doc_id").alias("least")), "different-sets")
-        links = links_of(sets, heads, rounds)
+        alive, parts = open_nodes(docs, sets, heads, id_col, text_col, k)
         discard(sets)
+        links = links_of(alive, parts, rounds)
         placed = heads.join(components(links), "node", "left").select("code", "least", F.coalesce("root", "node").alias("root"))
         least = placed.groupBy("root").agg(F.min("least").alias("component_id"))
         groups = stage(placed.join(least, "root").select("code", "component_id"), "set-groups")

@@ -12,6 +12,7 @@ from corpus import SCHEMA, edge_docs, edge_labels, edge_rows, many, words
 from pyspark.sql import functions as F
 
 from stockpulse.llm import filter_audit, jaccard_join, manifest
+from stockpulse.llm.common import numbered
 from stockpulse.session import stage
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -93,10 +94,11 @@ def test_join_of_nothing(spark):
 def test_no_pair_is_lost_by_the_lists(spark):
     """Each similar pair is in a common list, at places that leave room for its overlap."""
     docs = near_copies(spark, 80, 9).dropDuplicates(["text"])
+    docs = numbered(docs)
     sets = stage(jaccard_join.fragment_sets(docs, "doc_id", "text"), "test-sets")
     heads = sets.select(F.col("_row").alias("node"), "size")
-    alive = jaccard_join.still_open(sets, heads)
-    lists = jaccard_join.prefix_lists(jaccard_join.open_sets(sets, alive), alive)
+    alive, parts = jaccard_join.open_nodes(docs, sets, heads, "doc_id", "text")
+    lists = jaccard_join.prefix_lists(parts, alive)
     met = lists.alias("x").join(lists.alias("y"), "shingle").filter("x.node < y.node").filter(jaccard_join._could_match("x", "y"))
     pairs = {(r[0], r[1]) for r in met.select("x.node", "y.node").distinct().collect()}
     own = {r["_row"]: {x for c in jaccard_join.COLUMNS for x in r[c]} for r in sets.collect()}
