@@ -71,6 +71,7 @@ def shuffles_freed(spark: SparkSession):
         yield
     finally:
         spark.conf.unset(FREED) if before is None else spark.conf.set(FREED, before)
+        spark._jvm.System.gc()  # plans and broadcasts of the finished steps leave the driver's heap
 
 
 def without_spaces(text: Column) -> Column:
