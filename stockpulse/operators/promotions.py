@@ -9,45 +9,48 @@ from pyspark.sql import functions as F
 
 from ..functions import scalar as fx
 from ..schemas import FACT_KEYS
+from . import intervals
 
 
-def promo_days(promos: DataFrame, days_before: int = 0, days_after: int = 0) -> DataFrame:
-    """One row per campaign and day, with the phase of that day."""
-    day = F.col("date")
-    phase = F.when(day < F.col("start_date"), "before").when(day > F.col("end_date"), "after").otherwise("during")
-    return promos.withColumn("date", F.explode(F.sequence(F.date_sub("start_date", days_before),
-                                                          F.date_add("end_date", days_after)))).withColumn("phase", phase)
+def promo_windows(promos: DataFrame, days_before: int = 0, days_after: int = 0) -> DataFrame:
+    """Campaigns with the first and last day of their widened window."""
+    return promos.select(
+        "promo_id", "promo_type", F.col("discount_pct").cast("double").alias("discount_pct"), "start_date", "end_date",
+        F.date_sub("start_date", days_before).alias("window_start"), F.date_add("end_date", days_after).alias("window_end"),
+        "applicable_skus", "applicable_regions")
 
 
 def expand_promotions(sales: DataFrame, promos: DataFrame, days_before: int = 0, days_after: int = 0) -> DataFrame:
     """Fact rows inside the window of an applicable campaign, one row per (fact row, campaign).
 
-    The interval and membership conditions become three equi-joins: campaigns naming SKUs join on
-    (date, sku), those naming only regions on (date, region), the others on date. Nearly every candidate
-    of an equi-join is a result, no range predicate is left, and no side has to be broadcast.
+    The membership conditions become three equi-joins: campaigns naming SKUs also join on sku, those naming only
+    regions on region, the others on the window alone. The window itself is a few dyadic blocks
+    (:mod:`intervals`): a campaign of years is hardly more rows than one of days. Windows that end before they begin
+    or lack a bound have no rows.
     """
-    days = promo_days(promos, days_before, days_after).select(
-        "promo_id", "promo_type", F.col("discount_pct").cast("double").alias("discount_pct"), "start_date", "end_date",
-        "date", "phase", "applicable_skus", "applicable_regions")
-    by_sku = days.filter(F.col("applicable_skus").isNotNull()).withColumn("sku_id", F.explode(F.array_distinct("applicable_skus")))
-    no_sku = days.filter(F.col("applicable_skus").isNull())
+    windows = promo_windows(promos, days_before, days_after)
+    blocks = intervals.with_blocks(windows, "window_start", "window_end")
+    by_sku = blocks.filter(F.col("applicable_skus").isNotNull()).withColumn("sku_id", F.explode(F.array_distinct("applicable_skus")))
+    no_sku = blocks.filter(F.col("applicable_skus").isNull())
     by_region = no_sku.filter(F.col("applicable_regions").isNotNull()).withColumn(
         "region", F.explode(F.array_distinct("applicable_regions")))
     general = no_sku.filter(F.col("applicable_regions").isNull())
     in_region = F.col("applicable_regions").isNull() | F.array_contains("applicable_regions", F.col("region"))
     # a subquery over the few campaigns bounds the fact, so that the scans open only the months they cover
-    span = days.agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    span = windows.agg(F.min("window_start").alias("first"), F.max("window_end").alias("last"))
     first, last = (span.select(c).scalar() for c in ("first", "last"))
     fact = sales.filter(F.col("date").between(first, last))
     if fx.MONTH_PARTITION in sales.columns:
         fact = fact.filter(F.col(fx.MONTH_PARTITION).between(F.date_format(first, "yyyy-MM"), F.date_format(last, "yyyy-MM")))
     fact = fact.select(*FACT_KEYS, "sales_qty", "revenue_inr")
     parts = [
-        fact.join(by_sku, ["date", "sku_id"]).filter(in_region),
-        fact.join(by_region, ["date", "region"]),
-        fact.join(general, "date"),
+        intervals.days_in(fact, by_sku, "sku_id").filter(in_region),
+        intervals.days_in(fact, by_region, "region"),
+        intervals.days_in(fact, general),
     ]
-    out = ["promo_id", "promo_type", "discount_pct", "start_date", "end_date", "phase", *FACT_KEYS, "sales_qty", "revenue_inr"]
+    day = F.col("date")
+    phase = F.when(day < F.col("start_date"), "before").when(day > F.col("end_date"), "after").otherwise("during").alias("phase")
+    out = ["promo_id", "promo_type", "discount_pct", "start_date", "end_date", phase, *FACT_KEYS, "sales_qty", "revenue_inr"]
     return reduce(DataFrame.unionByName, [p.select(*out) for p in parts])
 
 
