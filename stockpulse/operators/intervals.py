@@ -24,16 +24,18 @@ def cover(first, last) -> Column:
     def day(c) -> Column:
         return F.unix_date(F.col(c) if isinstance(c, str) else c).cast("long")
 
-    def at(level: int) -> Column:
-        low = F.shiftright(day(first) + ((1 << level) - 1), level)
-        high = F.shiftright(day(last) + 1, level)
+    def at(level: Column) -> Column:
+        round_up = F.call_function("shiftleft", F.lit(1).cast("long"), level) - 1
+        low = F.call_function("shiftright", day(first) + round_up, level)
+        high = F.call_function("shiftright", day(last) + 1, level)
 
         def block(number: Column, odd: Column) -> Column:
-            return F.when((low < high) & (odd.bitwiseAND(F.lit(1)) == 1), F.struct(F.lit(level).alias("level"), number.alias("block")))
+            return F.when((low < high) & (odd.bitwiseAND(F.lit(1)) == 1), F.struct(level.alias("level"), number.alias("block")))
 
         return F.array(block(low, low), block(high - 1, high))
 
-    return F.array_compact(F.flatten(F.array(*[at(level) for level in range(LEVELS)])))
+    # one lambda over the levels: spelt out, they would make a plan that takes minutes to compile
+    return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at)))
 
 
 def with_blocks(intervals: DataFrame, first, last) -> DataFrame:
