@@ -34,7 +34,7 @@ def cover(first, last) -> Column:
 
         return F.array(block(low, low), block(high - 1, high))
 
-    # one lambda over the levels: spelt out, they would make a plan that takes minutes to compile
+    # one lambda over the levels keeps the plan short
     return F.array_compact(F.flatten(F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), at)))
 
 
