@@ -134,9 +134,8 @@ def inventory_drop(spark, root):
 REFUSED_TAX = 0.08
 
 
-def _pos_lines(spark, root) -> DataFrame:
+def _pos_lines(lines: DataFrame) -> DataFrame:
     """Order lines as the till would deliver them, one row a line."""
-    lines = retail.lines(spark, root)
     qty = F.when(F.col("l_tax") == REFUSED_TAX, F.lit(-1)).otherwise(F.col("l_quantity").cast("long"))
     return lines.select(F.concat_ws("/", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate").alias("line_id"), "sku_id", "region", F.col("l_shipdate").cast("date").alias("date"),
                         qty.alias("sales_qty"), F.col("l_extendedprice").cast("decimal(14,2)").alias("revenue_inr"),
@@ -146,11 +145,13 @@ def _pos_lines(spark, root) -> DataFrame:
 @register
 def ingested_pos(spark, root):
     """Two deliveries of till files, the second with everything of its year again: accepted lines by day, refused ones aside."""
-    rows = stage(_pos_lines(spark, root), "pos-lines")
+    used = [c for c in retail.LINE_COLUMNS if c != "l_discount"]
+    rows = _pos_lines(stage(retail.lines(spark, root).select("sku_id", "region", "l_partkey", *used), "pos-lines"))
     feed, target = scratch_path(spark, "pos-feed"), scratch_path(spark, "pos")
     year = F.lit(rows.agg(F.max(F.year("date"))).first()[0])
     for part in (rows.filter(F.year("date") <= year), rows.filter(F.year("date") == year)):
-        part.write.mode("append").option("header", True).csv(feed)
+        # a packed file is read by one task, so files are kept small
+        part.write.mode("append").option("header", True).option("compression", "gzip").option("maxRecordsPerFile", 1_000_000).csv(feed)
         ingest.ingest(spark, ingest.POS, feed, target)
     taken = ingest.read_feed(spark, ingest.POS, target).groupBy("date").agg(F.count("*").alias("lines"), F.sum("sales_qty").alias("sales_qty"), F.sum("returns_qty").alias("returns_qty"))
     refused = ingest.read_refused(spark, target).select(F.to_date(F.get_json_object("row", "$.date")).alias("date"), F.get_json_object("row", "$.line_id").alias("line_id"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import file_system
+from ..session import file_system, stage
 from .sinks import dedupe_latest
 
 BROKEN = "_broken"
@@ -50,6 +50,20 @@ def _split(rows: DataFrame, feed: Feed) -> tuple[DataFrame, DataFrame]:
     return good, marked.filter("reason IS NOT NULL").select("file", "reason", F.to_json(F.struct(*kept)).alias("row"), F.col(BROKEN).alias("line"))
 
 
+def _one_a_key(good: DataFrame, feed: Feed) -> DataFrame:
+    """One row a key: a file may repeat rows.
+
+    Hashes of the keys are counted first. Only rows whose hash is there more than once are compared as a whole.
+    """
+    keyed = good.withColumn("_key", F.xxhash64(*feed.keys))
+    often = stage(keyed.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").select("_key"), "repeated-keys")
+    if often.isEmpty():
+        return good
+    several = keyed.join(often, "_key", "left_semi").drop("_key")
+    once = keyed.join(often, "_key", "left_anti").drop("_key")
+    return once.unionByName(dedupe_latest(several, list(feed.keys), [c for c in good.columns if c not in feed.keys]))
+
+
 def ingest(spark: SparkSession, feed: Feed, source: str, target: str, kind: str = "csv", max_files: int | None = None,
            before_commit: Callable[[int], None] | None = None) -> dict:
     """Take all files of ``source`` that were not taken before; returns the batches, rows and refused rows of this run.
@@ -60,8 +74,7 @@ def ingest(spark: SparkSession, feed: Feed, source: str, target: str, kind: str
 
     def take(batch: DataFrame, number: int) -> None:
         good, bad = _split(batch, feed)
-        # one row a key: a file may repeat rows
-        dedupe_latest(good, list(feed.keys), [c for c in good.columns if c not in feed.keys]).write.mode("overwrite").parquet(f"{target}/data/batch={number}")
+        _one_a_key(good, feed).write.mode("overwrite").option("compression", "zstd").parquet(f"{target}/data/batch={number}")
         bad.write.mode("overwrite").parquet(f"{target}/refused/batch={number}")
         counts = {"rows": spark.read.parquet(f"{target}/data/batch={number}").count(), "refused": spark.read.parquet(f"{target}/refused/batch={number}").count()}
         if before_commit:
@@ -103,9 +116,13 @@ def read_batches(spark: SparkSession, feed: Feed, target: str, after: int = -1)
 
 
 def read_feed(spark: SparkSession, feed: Feed, target: str) -> DataFrame:
-    """One row per key over all committed batches: a row that was delivered again counts as last delivered."""
-    rows = read_batches(spark, feed, target)
-    return dedupe_latest(rows, list(feed.keys), ["batch", *[c for c in rows.columns if c not in ("batch", *feed.keys)]]).drop("file", "batch")
+    """One row per key over all committed batches: a row that was delivered again counts as last delivered.
+
+    A batch has one row a key, so its number decides alone, and columns that a caller does not use are not shuffled.
+    """
+    rows = read_batches(spark, feed, target).drop("file")
+    others = [c for c in rows.columns if c not in ("batch", *feed.keys)]
+    return rows.groupBy(*feed.keys).agg(*[F.max_by(c, "batch").alias(c) for c in others]).select(*[c for c in rows.columns if c != "batch"])
 
 
 def read_refused(spark: SparkSession, target: str) -> DataFrame:

@@ -49,12 +49,14 @@ def dedupe_latest(df: DataFrame, keys, order_by) -> DataFrame:
     """Newest row per key; ``order_by`` columns must order the rows of a key totally.
 
     An aggregate rather than a ranking: each task keeps one candidate per key, so a key holding many
-    copies is reduced before the shuffle.
+    copies is reduced before the shuffle. An order over all other columns is the row itself and goes once.
     """
     order = F.struct(*[F.col(c) for c in order_by])
-    rest = F.struct(*[F.col(c) for c in df.columns if c not in keys])
-    kept = df.groupBy(*keys).agg(F.max_by(rest, order).alias("_row"))
-    return kept.select(*keys, "_row.*").select(*df.columns)
+    others = [c for c in df.columns if c not in keys]
+    whole = set(others) <= set(order_by)
+    rest = F.struct(*[F.col(c) for c in others])
+    kept = df.groupBy(*keys).agg((F.max(order) if whole else F.max_by(rest, order)).alias("_row"))
+    return kept.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
 
 
 def append_absent(new: DataFrame, target: DataFrame, keys) -> DataFrame:

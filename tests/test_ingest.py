@@ -3,13 +3,13 @@
 import os
 
 import pytest
-from conftest import SF, day
+from conftest import SF, day, plan_of
 from pyspark.sql import functions as F
 
 from stockpulse.operators import kpis
 from stockpulse.plans import incremental
 from stockpulse.session import scratch_path
-from stockpulse.sources import ingest
+from stockpulse.sources import ingest, sinks
 
 HEADER = "line_id,sku_id,region,date,sales_qty,revenue_inr,returns_qty\n"
 
@@ -103,3 +103,15 @@ def test_views_follow_touched_days_only(spark, tables):
         incremental.refresh(spark, path, lambda days: (_ for _ in ()).throw(OSError("lost")))
     assert incremental.pending(spark, path) == [2] and incremental.refresh(spark, path, sources) == [gone]
     check()
+
+
+def test_unused_columns_and_copies_of_the_row_are_not_shuffled(spark, tmp_path):
+    feed, target = str(tmp_path / "feed"), str(tmp_path / "target")
+    drop(feed, "a.csv", "1,A,R,2024-01-01,5,10.0,0", "1,A,R,2024-01-02,6,10.0,0", "2,B,R,2024-01-01,4,10.0,1", "2,B,R,2024-01-01,4,10.0,1", ",C,R,2024-01-01,1,1.0,0", ",C,S,2024-01-01,1,1.0,0")
+    assert ingest.ingest(spark, ingest.POS, feed, target)["rows"] == 3  # keys 1, 2 and null
+    sums = ingest.read_feed(spark, ingest.POS, target).groupBy("date").agg(F.sum("sales_qty").alias("sales_qty"))
+    assert {str(r.date): r.sales_qty for r in sums.collect()} == {"2024-01-01": 5, "2024-01-02": 6}
+    moved = [x for x in plan_of(sums).splitlines() if "max_by" in x]
+    assert moved and not any("region" in x or "revenue_inr" in x for x in moved)
+    latest = sinks.dedupe_latest(spark.range(3).select(F.lit(1).alias("k"), "id"), ["k"], ["id"])
+    assert latest.first().id == 2 and "max_by" not in plan_of(latest)
