@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from decimal import Decimal
 from functools import cached_property
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,11 +49,15 @@ def region_names(spark: SparkSession, root: str) -> DataFrame:
     return _table(spark, root, "region").select("r_regionkey", F.col("r_name").alias("region"))
 
 
+def part_sku() -> Column:
+    return F.concat(F.lit("SKU-"), "l_partkey")
+
+
 def _sku_lines(spark: SparkSession, root: str, grain: str, *columns: str) -> DataFrame:
     """Order lines with their sku_id. Brand grain joins the product table, part grain needs no join."""
     lines = _table(spark, root, "lineitem").select("l_partkey", *columns)
     if grain == "part":
-        return lines.withColumn("sku_id", F.concat(F.lit("SKU-"), "l_partkey"))
+        return lines.withColumn("sku_id", part_sku())
     brands = _table(spark, root, "part").select("p_partkey", F.col("p_brand").alias("sku_id"))
     return lines.join(brands, F.col("l_partkey") == F.col("p_partkey")).drop("p_partkey")
 
@@ -77,24 +82,29 @@ def daily_sales(spark: SparkSession, root: str, grain: str = "brand") -> DataFra
     combines map-side first. Hot join keys are split by AQE's skew join; a hot group shrinks to one
     partial row per task before it is shuffled.
     """
-    joined = lines(spark, root, grain)
+    return _fact(_daily_sums(lines(spark, root, grain), "sku_id"))
+
+
+def _daily_sums(joined: DataFrame, sku: str) -> DataFrame:
+    """Sums per ``sku`` column x region x date."""
     qty = F.col("l_quantity").cast("long")
     paise = F.floor(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount")) * 100 + 0.5)
-    return (
-        joined.groupBy("sku_id", "region", F.col("l_shipdate").cast("date").alias("date"))
-        .agg(
-            F.sum(qty).alias("sales_qty"),
-            F.sum(paise).alias("paise"),
-            F.sum(F.when(F.col("l_returnflag") == "R", qty).otherwise(0)).alias("returns_qty"),
-            (F.max("l_discount") >= 0.09).alias("is_promotion"),
-        )
-        .select(
-            "sku_id", "region", "date", "sales_qty",
-            (F.col("paise").cast("decimal(18,0)") / 100).cast("decimal(14,2)").alias("revenue_inr"),
-            "returns_qty", fx.is_holiday("date").alias("is_holiday"), "is_promotion",
-            F.lit(None).cast("string").alias("promo_id"),
-            F.lit(None).cast("decimal(6,3)").alias("weather_score"),
-        )
+    return joined.groupBy(sku, "region", F.col("l_shipdate").cast("date").alias("date")).agg(
+        F.sum(qty).alias("sales_qty"),
+        F.sum(paise).alias("paise"),
+        F.sum(F.when(F.col("l_returnflag") == "R", qty).otherwise(0)).alias("returns_qty"),
+        (F.max("l_discount") >= 0.09).alias("is_promotion"),
+    )
+
+
+def _fact(sums: DataFrame) -> DataFrame:
+    """Columns of the daily fact from its sums."""
+    return sums.select(
+        "sku_id", "region", "date", "sales_qty",
+        (F.col("paise").cast("decimal(18,0)") / 100).cast("decimal(14,2)").alias("revenue_inr"),
+        "returns_qty", fx.is_holiday("date").alias("is_holiday"), "is_promotion",
+        F.lit(None).cast("string").alias("promo_id"),
+        F.lit(None).cast("decimal(6,3)").alias("weather_score"),
     )
 
 
@@ -211,9 +221,11 @@ class RetailTables:
 
     @cached_property
     def promotions(self) -> DataFrame:
+        """The campaigns as a local table: Spark knows its size, so that joins with the fact need not shuffle the fact."""
         rows = [(i, n, k, Decimal(p), dt.date.fromisoformat(s), dt.date.fromisoformat(e), skus, regions)
                 for i, n, k, p, s, e, skus, regions in PROMOTION_ROWS]
-        return self.spark.createDataFrame(rows, schemas.PROMOTIONS)
+        columns = dict(zip(schemas.PROMOTIONS.names, map(list, zip(*rows))))
+        return self.spark.createDataFrame(pa.table(columns), schemas.PROMOTIONS)
 
     @cached_property
     def model_versions(self) -> DataFrame:
@@ -240,9 +252,14 @@ def build_sales(spark: SparkSession, root: str, grain: str = "brand") -> str:
     """Aggregate and write the daily fact; returns its path.
 
     The rebalance hint gathers a month's rows for few, large files, and AQE splits a month that is
-    too big for one task.
+    too big for one task. At product grain it gathers a SKU's rows: what is summed up by SKU later shrinks
+    before it is shuffled. Up to then rows carry the product key in place of its name.
     """
     path = scratch_path(spark, f"sku_daily_sales_{grain}")
+    if grain == "part":
+        sums = _daily_sums(lines(spark, root, grain), "l_partkey").hint("rebalance", "l_partkey")
+        _fact(sums.sortWithinPartitions("l_partkey", "region", "date").withColumn("sku_id", part_sku())).write.parquet(path)
+        return path
     (daily_sales(spark, root, grain).withColumn(fx.MONTH_PARTITION, fx.month_key("date"))
      .hint("rebalance", fx.MONTH_PARTITION).sortWithinPartitions(fx.MONTH_PARTITION, "sku_id", "region", "date")
      .write.partitionBy(fx.MONTH_PARTITION).parquet(path))
