@@ -5,14 +5,14 @@ from __future__ import annotations
 from functools import reduce
 from operator import add
 
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import attach_row, stage
+from ..session import attach_row, scratch_path, stage
 from . import tree_shap
 from .clustering import MATRIX_COLUMNS, standardize
 
@@ -61,11 +61,18 @@ def nearest_match(left: DataFrame, right: DataFrame, by: str, score: str, right_
 
 
 def propensity(matrix: DataFrame, treated: DataFrame, columns=MATRIX_COLUMNS) -> DataFrame:
-    """Probability of being promoted given the SKU features; ``treated`` lists the promoted sku_id."""
+    """Probability of being promoted given the SKU features; ``treated`` lists the promoted sku_id.
+
+    A model fresh from its fit holds the session through its training summary, and a session that has observed any
+    query cannot be sent to tasks; the model as stored has no summary.
+    """
     flags = treated.select("sku_id").distinct().withColumn("treated", F.lit(1.0))
     rows = matrix.join(flags, "sku_id", "left").na.fill({"treated": 0.0})
     scaled, _ = standardize(rows, columns)
     model = LogisticRegression(featuresCol="scaled", labelCol="treated", regParam=0.01).fit(scaled)
+    path = scratch_path(matrix.sparkSession, "propensity-model")
+    model.write().save(path)
+    model = LogisticRegressionModel.load(path)
     chance = vector_to_array("probability")[1]
     return model.transform(scaled).select(*matrix.columns, "treated", chance.alias("propensity"))
 

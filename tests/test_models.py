@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 from conftest import SF
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from stockpulse.operators import anomaly, causal, clustering, isolation_forest
@@ -120,3 +121,16 @@ def test_detection_filters(spark, tables):
 
     events = api.detect_anomalies(tables, 180, region="ASIA", min_score=0.0, n_trees=10)
     assert SF and all(r.region == "ASIA" and 0 <= r.anomaly_score <= 1 for r in events.collect())
+
+
+def test_propensity_after_an_observed_query(spark):
+    """A session that has observed a query cannot be sent to tasks; the scoring must not need it."""
+    seen = Observation()
+    spark.range(3).observe(seen, F.count(F.lit(1)).alias("rows")).collect()
+    assert seen.get["rows"] == 3
+    rows = [(f"S{i}", i % 2, *[float((i * (c + 3)) % 17) for c in range(7)]) for i in range(40)]
+    matrix = spark.createDataFrame(rows, ["sku_id", "cluster", *clustering.MATRIX_COLUMNS])
+    treated = matrix.filter("sales_velocity > 9").select("sku_id")
+    scored = causal.propensity(matrix, treated).collect()
+    assert len(scored) == 40 and all(0 < r.propensity < 1 for r in scored)
+    assert min(r.propensity for r in scored if r.treated) > min(r.propensity for r in scored if not r.treated)
