@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import stage
+from ..session import release, stage
 from .common import ROW_KEY, numbered, row_key, word_count
 
 #: Blocks of a source at most; a block has some rows of its source, however many there are.
@@ -22,31 +22,31 @@ BLOCKS = 1024
 WEIGHTS, SHARE, CAP, SHARDS, SEED = (3, 1, 2), 1.5, 2.0, 8, 17
 
 
-def draw(df: DataFrame, name: str, u: str, good: str, bad: str, n: str) -> DataFrame:
-    """Adds ``name``, the u-quantile of how many of ``n`` draws from good + bad are good.
+def drawn(u: str, good: str, bad: str, n: str) -> str:
+    """The u-quantile of how many of ``n`` draws from good + bad are good, as one SQL expression of SQL expressions.
 
     Inverts the hypergeometric distribution over its support, or 12 deviations around the mode (the rest
-    weighs under 1e-30). Ratios of neighbouring probabilities suffice, so no factorials are needed. The
-    arguments are SQL expressions.
+    weighs under 1e-30). Ratios of neighbouring probabilities suffice, so no factorials are needed. A
+    ``transform`` over an array of one value names what is used several times.
     """
-    g, b, k = (f"cast({c} AS double)" for c in (good, bad, n))
+    g, b, k = (f"cast(d.{c} AS double)" for c in ("good", "bad", "n"))
     total = f"({g} + {b})"
     ratio = f"({g} - x) * ({k} - x) / ((x + 1) * ({b} - {k} + x + 1))"
-    df = df.selectExpr(
-        "*",
-        f"floor(({k} + 1) * ({g} + 1) / ({total} + 2)) AS {name}_mode",
-        f"ceil(12 * sqrt(greatest({k} * {g} * {b} * ({total} - {k}), 0) / greatest({total} * {total} * ({total} - 1), 1))) + 12 AS {name}_wide",
-        f"greatest({n} - {bad}, 0, {name}_mode - {name}_wide) AS {name}_low",
-        f"least({n}, {good}, {name}_mode + {name}_wide) AS {name}_high",
-        f"if({name}_high > {name}_low, sequence({name}_low, {name}_high - 1), cast(array() AS array<bigint>)) AS {name}_steps")
-    df = df.selectExpr(
-        "*",
-        f"aggregate({name}_steps, struct(1D AS p, 1D AS s), (a, x) -> struct(a.p * {ratio} AS p, a.s + a.p * {ratio} AS s), a -> a.s) AS {name}_mass")
-    df = df.selectExpr(
-        "*",
-        f"aggregate({name}_steps, struct(1D AS p, 1D AS s, {name}_low AS at), (a, x) -> struct(a.p * {ratio} AS p, a.s + a.p * {ratio} AS s, "
-        f"if(a.s < {u} * {name}_mass, x + 1, a.at) AS at), a -> a.at) AS {name}")
-    return df.drop(*(f"{name}_{x}" for x in ("mode", "wide", "low", "high", "steps", "mass")))
+    mode = f"floor(({k} + 1) * ({g} + 1) / ({total} + 2))"
+    wide = f"ceil(12 * sqrt(greatest({k} * {g} * {b} * ({total} - {k}), 0) / greatest({total} * {total} * ({total} - 1), 1))) + 12"
+    mass = f"aggregate(steps, struct(1D AS p, 1D AS s), (a, x) -> struct(a.p * {ratio} AS p, a.s + a.p * {ratio} AS s), a -> a.s)"
+    found = (f"aggregate(steps, struct(1D AS p, 1D AS s, r.low AS at), (a, x) -> struct(a.p * {ratio} AS p, a.s + a.p * {ratio} AS s, "
+             "if(a.s < d.u * mass, x + 1, a.at) AS at), a -> a.at)")
+    for name, value in (("mass", mass), ("steps", "if(r.high > r.low, sequence(r.low, r.high - 1), cast(array() AS array<bigint>))"),
+                        ("r", "struct(greatest(d.n - d.bad, 0, m.mode - m.wide) AS low, least(d.n, d.good, m.mode + m.wide) AS high)"),
+                        ("m", f"struct({mode} AS mode, {wide} AS wide)"), ("d", f"struct({u} AS u, {good} AS good, {bad} AS bad, {n} AS n)")):
+        found = f"transform(array({value}), {name} -> {found})[0]"
+    return found
+
+
+def draw(df: DataFrame, name: str, u: str, good: str, bad: str, n: str) -> DataFrame:
+    """Adds ``name``, the draw of each row."""
+    return df.selectExpr("*", f"{drawn(u, good, bad, n)} AS {name}")
 
 
 def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -61,13 +61,12 @@ def split_quotas(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
     for level in range(height):
         below = quotas.groupBy(F.shiftright("index", height - level - 1).alias("child")).agg(F.sum("quota").alias("quota"))
         left = below.filter("child % 2 = 0").select(F.shiftright("child", 1).alias("node"), F.col("quota").alias("left"))
-        nodes = nodes.join(left.withColumnRenamed("left", "left0"), "node")
-        nodes = nodes.selectExpr("*", *(f"free[{i}] AS good{i}" for i in range(shards)), *(
-            f"aggregate(slice(free, {i + 2}, {shards}), 0L, (a, x) -> a + x) AS bad{i}" for i in range(shards)))
-        for i in range(shards):  # shard by shard, from the places that are still free
-            u = f"(pmod(xxhash64({seed}, {level}, node, {i}), {1 << 52}) / {float(1 << 52)}D)"
-            nodes = draw(nodes, f"d{i}", u, f"good{i}", f"bad{i}", f"left{i}").selectExpr("*", f"left{i} - d{i} AS left{i + 1}")
-        nodes = nodes.select("node", "free", F.array(*(f"d{i}" for i in range(shards))).alias("went"))
+        u = f"pmod(xxhash64({seed}, {level}, node, i), {1 << 52}) / {float(1 << 52)}D"
+        taken = drawn(u, "free[i]", f"aggregate(slice(free, i + 2, {shards}), 0L, (a, x) -> a + x)", "s.left")
+        # one expression for all shards, in turn, from the places that are still free: a copy for each makes plans the driver is slow to compile
+        went = (f"aggregate(sequence(0, {shards - 1}), struct(left, cast(array() AS array<bigint>) AS went), (s, i) -> "
+                f"transform(array({taken}), t -> struct(s.left - t AS left, concat(s.went, array(t)) AS went))[0], s -> s.went)")
+        nodes = nodes.join(left, "node").selectExpr("node", "free", f"{went} AS went")
         other = F.zip_with("free", "went", lambda x, y: x - y)
         halves = F.explode(F.array(F.struct((2 * F.col("node")).alias("node"), F.col("went").alias("free")),
                                    F.struct((2 * F.col("node") + 1).alias("node"), other.alias("free"))))
@@ -121,6 +120,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     b = stage(b, "mix-blocks")
     quotas = b.groupBy("index").agg((F.max(F.col("passes") * F.col("n_blocks")) + F.sum("in_rest")).alias("quota"))
     dealt = split_quotas(quotas, shards, seed)
+    release(docs.sparkSession)
     runs = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda i: F.aggregate(F.slice(F.col("taken"), F.lit(1), i), F.lit(0).cast("long"), lambda a, x: a + x))
     b = b.join(dealt.select("index", runs.alias("ends")), "index")
     uses = F.transform(F.sequence(F.lit(0), F.col("passes") + F.col("in_rest") - 1), lambda p: p * F.col("n_blocks") + F.col("place"))

@@ -18,7 +18,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import attach_row, stage
+from ..session import attach_row, release, stage
 from .common import keep_rows, numbered, row_key
 
 #: Labelled rows the classifier is fitted on: all, or about so many, chosen by a hash of the id.
@@ -135,7 +135,7 @@ def site_rates(own: DataFrame) -> DataFrame:
     total = paths.agg((F.sum("good") / F.sum("n")).alias("global_rate"))
     hosts = attach_row(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good")), total)
     hosts = attach_row(hosts, _strength(hosts, "global_rate"))
-    hosts = hosts.select("host", "global_rate", ((F.col("good") + F.col("strength") * F.col("global_rate")) / (F.col("n") + F.col("strength"))).alias("host_rate"))
+    hosts = stage(hosts.select("host", "global_rate", ((F.col("good") + F.col("strength") * F.col("global_rate")) / (F.col("n") + F.col("strength"))).alias("host_rate")), "host-rates")
     paths = paths.join(hosts, "host")
     paths = attach_row(paths, _strength(paths, "host_rate"))
     rate = (F.col("good") + F.col("strength") * F.col("host_rate")) / (F.col("n") + F.col("strength"))
@@ -153,8 +153,9 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     host, path = site_columns(source_col, lang_col)
     x = stage(measured(docs, id_col, text_col, host, path), "quality-features")
     own = _evidence(x, labels, train_rows)
-    rates = site_rates(own)
-    rates = rates.select(F.col("path").alias("of"), "global_rate", "host_rate", "path_rate")
+    release(docs.sparkSession)
+    # written: the subqueries of the rates are planned once, not again in each plan that reads the scores
+    rates = stage(site_rates(own).select(F.col("path").alias("of"), "global_rate", "host_rate", "path_rate"), "site-rates")
     logit = lambda p: F.log(F.greatest(p, F.lit(1e-6)) / F.greatest(1 - p, F.lit(1e-6)))
     z = logit(F.col("own")) + logit(F.col("path_rate")) - logit(F.col("global_rate"))
     out = own.join(rates, own["path"] == rates["of"]).withColumn("quality", 1 / (1 + F.exp(-z)))

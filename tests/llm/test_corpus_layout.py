@@ -74,6 +74,16 @@ def test_quota_tree_is_exact(spark):
     assert max(columns) - min(columns) <= 1
 
 
+def test_quota_tree_plans_do_not_grow_with_the_shards(spark, monkeypatch):
+    """The driver compiles each level's plan: one expression stands for all shards."""
+    lines, write = [], mixing.stage
+    monkeypatch.setattr(mixing, "stage", lambda df, label: lines.append(len(df._jdf.queryExecution().analyzed().toString().splitlines())) or write(df, label))
+    quotas = spark.createDataFrame([(0, 5), (1, 9)], "index long, quota long")
+    for shards in (2, 16):
+        mixing.split_quotas(quotas, shards, 5).collect()
+    assert len(lines) == 2 and lines[0] == lines[1]
+
+
 def test_draws_follow_the_distribution(spark):
     from math import comb
 

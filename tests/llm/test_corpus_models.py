@@ -66,6 +66,12 @@ def test_quality_of_edge_cases(spark):
     assert quality.score(spark.createDataFrame([], SCHEMA), labels).count() == 0
 
 
+def test_quality_scores_carry_no_subqueries(spark):
+    """The rates are written: plans that read the scores do not plan their subqueries again."""
+    scores = quality.score(edge_docs(spark), edge_labels(spark, "quality"))
+    assert "scalar-subquery" not in scores._jdf.queryExecution().analyzed().toString()
+
+
 def test_toxic_documents_are_found_and_clean_ones_left(spark):
     """Labels of the larger table: a few of its toxic documents have lost their wording and cannot be told."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
